@@ -11,6 +11,7 @@ from tracewarden.functions import patterns as P
 from tracewarden.functions.text import LOG_LINE, second_of
 from tracewarden.operators import entries as E
 from tracewarden.operators import keyed, rules, running_features, stats
+from tracewarden.session import written_table
 from tracewarden.sources import logs, sinks
 
 _ENTRIES = ["entries"]
@@ -393,8 +394,8 @@ def _(spark, sf_dir):
 
 @query("static_analysis", _PARSED + _PARSED_THREATS + f"\nSELECT {_OUT} FROM threats", _LINES)
 def _(spark, sf_dir):
-    """From raw lines to threats."""
-    return _out(rules.detect_all(parsed(spark, sf_dir)))
+    """From raw lines to threats: parse once, then run the rules on the written table."""
+    return _out(rules.detect_all(written_table(parsed(spark, sf_dir), "entries")))
 
 
 @query("threats_by_severity", _THREATS + f"\nSELECT {_OUT} FROM threats WHERE severity = 'HIGH'", _ENTRIES)

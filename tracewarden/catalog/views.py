@@ -6,6 +6,7 @@ Two tokens differ per engine: ``{DT}`` (time of the burst) and ``{TS}`` (log for
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TOKENS = {
     "spark": {
@@ -104,4 +105,7 @@ def view(spark: SparkSession, sf_dir: str, name: str, events: DataFrame | None =
             source = source.replace(f"FROM {known}", "FROM {" + known + "}")
         used = {k: v for k, v in steps.items() if "{" + k + "}" in source}
         steps[step] = spark.sql(source, **used)
+        if step == "access_log_lines":
+            # Lines stand for text read from files: keep filters from being pushed into their making.
+            steps[step] = steps[step].select("line_no", F.explode(F.array("line")).alias("line"))
     return steps[name]

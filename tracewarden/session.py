@@ -52,3 +52,11 @@ def cut_lineage(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def written_table(df, label: str):
+    """Write ``df`` as Parquet under the shared folder and read it back: a base for several scans
+    that survives the loss of executors, and that later readers can prune and filter by column."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)

@@ -28,30 +28,27 @@ def parse_lines(lines: DataFrame, line: str = "line", order: str = "seq") -> Dat
     A stripped line never starts with ``\\n``, so that first character tells whether it matched.
     """
     rewritten = F.regexp_replace(
-        F.col("_line"), LOG_LINE + r"(?s:.*)$", "\n$1 $3 $4 $5 $6 $9 $2]$7\"$8"
+        stripped(F.col(line)), LOG_LINE + r"(?s:.*)$", "\n$1 $3 $4 $5 $6 $9 $2]$7\"$8"
     )
-    content = lines.select(F.col(order), stripped(F.col(line)).alias("_line"))
-    matched = (
-        content.filter(_is_content(F.col("_line")))
-        .select(order, rewritten.alias("_rec"))
-        .filter(F.startswith("_rec", F.lit("\n")))
-        .select(order, F.split(F.substring("_rec", 2, 2**31 - 1), " ", 7).alias("_f"))
-        .select(order, "_f", F.split(F.col("_f")[6], "]", 2).alias("_t"))
-        .select(order, "_f", "_t", F.split(F.col("_t")[1], '"', 2).alias("_q"))
-    )
-    f, t, q = F.col("_f"), F.col("_t"), F.col("_q")
-    number = lambda c: F.expr(f"try_cast({c} AS BIGINT)")
-    parsed = matched.select(
-        f[0].alias("ip"),
-        t[0].alias("timestamp"),
+    # The one-element explode keeps filters and later projections above the regex: pushed below
+    # it, each would repeat the whole rewriting. Comments and blank lines cannot match.
+    cut = lines.select(order, F.explode(F.array(F.split(rewritten, " ", 7))).alias("_f")).filter(
+        F.startswith(F.col("_f")[0], F.lit("\n")))
+    f, rest = F.col("_f"), F.col("_f")[6]
+    timestamp = F.substring_index(rest, "]", 1)
+    tail = F.substr(rest, F.length(timestamp) + 2)
+    number = lambda i: F.expr(f"try_cast(_f[{i}] AS BIGINT)")
+    parsed = cut.select(
+        F.substr(f[0], F.lit(2)).alias("ip"),
+        timestamp.alias("timestamp"),
         f[1].alias("method"),
         f[2].alias("endpoint"),
-        number("_f[3]").alias("status"),
-        number("_f[4]").alias("bytes_sent"),
-        q[0].alias("referrer"),
-        q[1].alias("user_agent"),
-        F.coalesce(number("_f[5]"), F.lit(0)).cast("bigint").alias("response_time"),
-        log_time(t[0]).alias("dt"),
+        number(3).alias("status"),
+        number(4).alias("bytes_sent"),
+        F.substring_index(tail, '"', 1).alias("referrer"),
+        F.substring_index(tail, '"', -1).alias("user_agent"),
+        F.coalesce(number(5), F.lit(0)).cast("bigint").alias("response_time"),
+        log_time(timestamp).alias("dt"),
         order,
     )
     assert parsed.columns[:-1] == LOG_ENTRY.names
