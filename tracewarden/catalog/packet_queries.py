@@ -137,8 +137,8 @@ def alerts(spark, sf_dir):
 
 
 def _flat(df, *more):
-    return df.select("type", "severity", "detail", "ip", F.col("seq.at").alias("packet_no"),
-                     F.col("seq.rule").cast("bigint").alias("rule"), *more)
+    return df.select("type", "severity", "detail", "ip", F.expr(f"seq DIV {A.RULES}").alias("packet_no"),
+                     (F.col("seq") % A.RULES).cast("bigint").alias("rule"), *more)
 
 
 @query("packet_alerts", ALERTS + "\nSELECT type, severity, detail, ip, packet_no, rule FROM alerts", _PACKETS)
@@ -155,7 +155,7 @@ def _(spark, sf_dir):
         F.lit("OVERSIZED").alias("type"), F.lit("medium").alias("severity"),
         F.concat(F.lit("size "), F.col("size").cast("string")).alias("detail"),
         F.col("src_ip").alias("ip"),
-        F.struct(F.col("packet_no").alias("at"), F.lit(1).alias("rule")).alias("seq"))
+        (F.col("packet_no") * A.RULES + 1).alias("seq"))
     return _flat(A.dedup(raised))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.functions.text import severity_rank
@@ -15,31 +16,40 @@ from tracewarden.schema import MODEL_COLUMNS
 SIGNATURE = ["type", "severity", "detail", "ip"]
 
 
-def _alert(rule: int, kind: str, severity: str, detail, at):
+#: Rules are numbered below this, so that one BIGINT orders alerts by packet and then by rule.
+RULES = 8
+
+
+def _alert(rule: int, kind: str, severity: str, detail, at, numeric: bool):
+    seq = at * RULES + rule if numeric else F.struct(at.alias("at"), F.lit(rule).alias("rule"))
     return F.struct(
         F.lit(kind).alias("type"),
         F.lit(severity).alias("severity"),
         detail.alias("detail"),
         F.col("src_ip").alias("ip"),
-        F.struct(at.alias("at"), F.lit(rule).alias("rule")).alias("seq"),
+        seq.alias("seq"),
     )
 
 
+def _is_number(df: DataFrame, order: str) -> bool:
+    return isinstance(df.schema[order].dataType, T.IntegralType)
+
+
 def feature_alerts(features: DataFrame, order: str = "packet_no", cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """Alerts of the rules that look at one packet's features, in rule order."""
-    at = F.col(order)
+    at, numeric = F.col(order), _is_number(features, order)
     text = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
     found = F.array(
         F.when(F.col("port_hits") > cfg.port_hits,
-               _alert(1, "PORT_SCAN", "high", text("Unusual port access: ", "dst_port"), at)),
+               _alert(1, "PORT_SCAN", "high", text("Unusual port access: ", "dst_port"), at, numeric)),
         F.when(F.col("unique_ports") >= cfg.ports_per_source,
-               _alert(3, "PORT_SCAN", "high", text("Unusual port access count: ", "unique_ports"), at)),
+               _alert(3, "PORT_SCAN", "high", text("Unusual port access count: ", "unique_ports"), at, numeric)),
         F.when(F.col("queue_length") >= cfg.volume_limit,
-               _alert(4, "DOS_ATTACK", "critical", text("High packet rate: ", "queue_length"), at)),
+               _alert(4, "DOS_ATTACK", "critical", text("High packet rate: ", "queue_length"), at, numeric)),
         F.when(F.col("packet_size") > cfg.max_packet_size,
-               _alert(5, "SUSPICIOUS_PACKET", "medium", text("Large packet size: ", "packet_size"), at)),
+               _alert(5, "SUSPICIOUS_PACKET", "medium", text("Large packet size: ", "packet_size"), at, numeric)),
         F.when(is_attack(list(MODEL_COLUMNS)) == 1,
-               _alert(6, "ML_ANOMALY", "high", F.lit("Machine learning model flagged anomaly"), at)),
+               _alert(6, "ML_ANOMALY", "high", F.lit("Machine learning model flagged anomaly"), at, numeric)),
     )
     return features.select(F.inline(F.filter(found, lambda a: a.isNotNull())))
 
@@ -47,7 +57,8 @@ def feature_alerts(features: DataFrame, order: str = "packet_no", cfg: Detection
 def rate_alerts(packets: DataFrame, order: str = "packet_no", cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """One alert per time at which an address is over its rate, at the first packet of that time."""
     return rate_windows(packets, order, cfg).select(
-        _alert(2, "DOS_ATTACK", "critical", F.lit("High request rate detected"), F.col("first")).alias("a")
+        _alert(2, "DOS_ATTACK", "critical", F.lit("High request rate detected"), F.col("first"),
+               _is_number(packets, order)).alias("a")
     ).select("a.*")
 
 

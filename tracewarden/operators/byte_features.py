@@ -64,21 +64,23 @@ def _text_entropy(values: pd.Series) -> pd.Series:
     return values.map(bits)
 
 
-def _shares(counts: Column) -> Column:
-    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return F.transform(counts, lambda x: F.when(total > 0, x / total).otherwise(0.0))
+def _with_shares(df: DataFrame, total: Column) -> DataFrame:
+    share = F.transform("counts", lambda x: F.when(F.col("_total") > 0, x / F.col("_total")).otherwise(0.0))
+    return df.withColumn("_total", total).withColumn("histogram", share).drop("_total", "_size")
 
 
 def byte_histogram(df: DataFrame, key: str, content: str = "text") -> DataFrame:
     """``counts`` of the 256 byte values, and ``histogram``, their shares."""
-    return df.select(key, _byte_counts(content).alias("counts")).withColumn(
-        "histogram", _shares(F.col("counts")))
+    counted = df.select(key, F.octet_length(content).alias("_size"), _byte_counts(content).alias("counts"))
+    return _with_shares(counted, F.col("_size"))
 
 
 def byte_entropy_histogram(df: DataFrame, key: str, content: str = "text") -> DataFrame:
     """256 slots of (entropy bin, high nibble) over overlapping windows; a short input is one window."""
-    return df.select(key, _entropy_counts(content).alias("counts")).withColumn(
-        "histogram", _shares(F.col("counts")))
+    counted = df.select(key, F.octet_length(content).alias("_size"), _entropy_counts(content).alias("counts"))
+    windows = F.floor((F.col("_size") - WINDOW) / STEP) + 1
+    return _with_shares(
+        counted, F.when(F.col("_size") < WINDOW, F.col("_size")).otherwise(windows * WINDOW))
 
 
 def string_features(df: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -13,8 +13,10 @@ from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.functions import patterns as P
 from tracewarden.functions.text import contains_any, entry_line, second_of
 from tracewarden.operators.entries import failed_logins, requests_per_second
+from tracewarden.plans.skew import rows_of_keys
 from tracewarden.plans.sliding import trailing_counts
 from tracewarden.plans.topk import first_k, k_smallest
+from tracewarden.session import cut_lineage
 
 
 def _threat(rule_ord, kind, severity, source, description, evidence, timestamp, seq) -> list[Column]:
@@ -113,6 +115,20 @@ def matched_pattern(threats: DataFrame, patterns) -> DataFrame:
 
 
 # -- one threat per group ---------------------------------------------------------------------
+#
+# Two passes each. The first finds the groups, with fixed-width aggregates only, so it hashes and combines
+# map-side. Texts (evidence, raw timestamps) need sorting; the second pass collects them from the rows of
+# the groups that were found, which are few.
+
+
+def _found(groups: DataFrame, rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    groups = cut_lineage(groups)
+    return groups, rows_of_keys(rows, groups, keys)
+
+
+def _first_entry(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.min_by("timestamp", "seq").alias("timestamp"), F.min("seq").alias("seq"))
 
 
 def brute_force(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
@@ -121,12 +137,11 @@ def brute_force(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFram
     per_ip = failed.groupBy("ip").agg(
         F.count(F.lit(1)).alias("n"),
         seconds_between(F.min_by("dt", "seq"), F.max_by("dt", "seq")).alias("delta"),
-        F.min_by("timestamp", "seq").alias("timestamp"),
-        F.min("seq").alias("seq"),
     ).filter((F.col("n") >= cfg.brute_force_attempts) & (F.col("n") >= 2)
              & (F.col("delta") <= cfg.brute_force_window_s))
-    shown = first_k(failed, ["ip"], "seq", entry_line(), 5, "evidence")
-    return per_ip.join(shown, "ip").select(*_threat(
+    per_ip, rows = _found(per_ip, failed, ["ip"])
+    shown = first_k(rows, ["ip"], "seq", entry_line(), 5, "evidence")
+    return per_ip.join(shown, "ip").join(_first_entry(rows, ["ip"]), "ip").select(*_threat(
         1, "BRUTE_FORCE", "HIGH", F.col("ip"),
         F.format_string("%d failed login attempts in %d seconds", "n", "delta"),
         F.col("evidence"), F.col("timestamp"), F.col("seq")))
@@ -159,14 +174,13 @@ def port_scan(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
         F.count_distinct("endpoint").alias("degree"),
         F.count("dt").alias("timed"),
         seconds_between(F.min("dt"), F.max("dt")).alias("delta"),
-        F.min_by("timestamp", "seq").alias("timestamp"),
-        F.min("seq").alias("seq"),
     ).filter(
         (F.col("degree") >= cfg.port_scan_endpoints) & ~F.startswith("ip", F.lit("/"))
         & (F.col("timed") >= 2) & (F.col("delta") <= cfg.port_scan_window_s)
     )
-    shown = k_smallest(entries, ["ip"], "endpoint", 5, "evidence")
-    return per_ip.join(shown, "ip").select(*_threat(
+    per_ip, rows = _found(per_ip, entries, ["ip"])
+    shown = k_smallest(rows, ["ip"], "endpoint", 5, "evidence")
+    return per_ip.join(shown, "ip").join(_first_entry(rows, ["ip"]), "ip").select(*_threat(
         5, "PORT_SCAN", "MEDIUM", F.col("ip"),
         F.format_string("Scanned %d endpoints in %d seconds", "degree", "delta"),
         F.col("evidence"), F.col("timestamp"), F.col("seq")), "degree")
@@ -175,11 +189,12 @@ def port_scan(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
 def burst(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """Many distinct addresses on one endpoint within one second."""
     timed = entries.filter(F.col("dt").isNotNull()).withColumn("second", second_of(F.col("dt")))
-    hits = timed.groupBy("endpoint", "second").agg(
-        F.count_distinct("ip").alias("n"), F.min("seq").alias("seq")
-    ).filter(F.col("n") >= cfg.burst_ips)
-    shown = k_smallest(timed, ["endpoint", "second"], "ip", 5, "ips")
-    return hits.join(shown, ["endpoint", "second"]).select(*_threat(
+    keys = ["endpoint", "second"]
+    hits = timed.groupBy(*keys).agg(F.count_distinct("ip").alias("n")).filter(F.col("n") >= cfg.burst_ips)
+    hits, rows = _found(hits, timed, keys)
+    shown = k_smallest(rows, keys, "ip", 5, "ips")
+    first = rows.groupBy(*keys).agg(F.min("seq").alias("seq"))
+    return hits.join(shown, keys).join(first, keys).select(*_threat(
         6, "DDOS", "CRITICAL", F.array_join("ips", ","),
         F.format_string("%d unique IPs hit %s simultaneously", "n", "endpoint"),
         F.array(F.concat(F.lit("Time: "), F.col("second")),
@@ -217,15 +232,14 @@ def busy_addresses(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataF
 
 def attack_tools(entries: DataFrame) -> DataFrame:
     """One threat per distinct agent text of a known tool."""
-    tools = entries.filter(P.matches_any(F.col("user_agent"), P.ATTACK_TOOLS))
+    tools = entries.filter(P.names_any(F.col("user_agent"), P.ATTACK_TOOLS))
     per_agent = tools.groupBy("user_agent").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("ip").alias("n_ips"),
-        F.min_by("timestamp", "seq").alias("timestamp"),
-        F.min("seq").alias("seq"),
     )
     shown = k_smallest(tools, ["user_agent"], "ip", 3, "ips")
-    return per_agent.join(shown, "user_agent").select(*_threat(
+    first = _first_entry(tools, ["user_agent"])
+    return per_agent.join(shown, "user_agent").join(first, "user_agent").select(*_threat(
         8, "SUSPICIOUS_TOOL", "MEDIUM", F.array_join("ips", ","),
         F.concat(F.lit("Detected attack tool: "), F.left("user_agent", F.lit(50))),
         F.array(F.format_string("Requests: %d", "n"), F.format_string("IPs: %d", "n_ips")),

@@ -21,8 +21,8 @@ def _flag(test: Column) -> Column:
     return F.when(test, 1).otherwise(0)
 
 
-def _has(column: str, pattern: str) -> Column:
-    return F.rlike(F.col(column), F.lit(f"(?i){pattern}"))
+def _names(column: str, *words: str) -> Column:
+    return P.names_any(F.col(column), words)
 
 
 def time_columns(cfg: DetectionConfig = DEFAULTS) -> dict[str, Column]:
@@ -66,25 +66,25 @@ def agent_columns(cfg: DetectionConfig = DEFAULTS) -> dict[str, Column]:
     """Browsers that name others in their agent text are tested first: Edge and Opera, then Chrome,
     then Safari. A referrer is external when its host is not the configured site."""
     ua = "user_agent"
-    edge, opera = _has(ua, "Edge/|Edg/"), _has(ua, "OPR/|Opera")
-    chrome = _has(ua, "Chrome/") & ~edge & ~opera
-    ios, android = _has(ua, "iPhone|iPad|iPod"), _has(ua, "Android")
+    edge, opera = _names(ua, "edge/", "edg/"), _names(ua, "opr/", "opera")
+    chrome_token = _names(ua, "chrome/")
+    ios, android = _names(ua, "iphone", "ipad", "ipod"), _names(ua, "android")
     referred = ~F.col("referrer").isin("", "-")
     host = F.lower(F.regexp_extract("referrer", "^[A-Za-z]+://([^/:?#]+)", 1))
     return {
         "ua_length": F.length(ua),
-        "is_chrome": _flag(chrome),
-        "is_firefox": _flag(_has(ua, "Firefox/")),
-        "is_safari": _flag(_has(ua, "Safari/") & ~_has(ua, "Chrome/") & ~edge & ~opera),
+        "is_chrome": _flag(chrome_token & ~edge & ~opera),
+        "is_firefox": _flag(_names(ua, "firefox/")),
+        "is_safari": _flag(_names(ua, "safari/") & ~chrome_token & ~edge & ~opera),
         "is_edge": _flag(edge),
         "is_opera": _flag(opera),
-        "is_windows": _flag(_has(ua, "Windows")),
-        "is_mac": _flag(_has(ua, "Macintosh|Mac OS X") & ~ios),
-        "is_linux": _flag(_has(ua, "Linux") & ~android),
+        "is_windows": _flag(_names(ua, "windows")),
+        "is_mac": _flag(_names(ua, "macintosh", "mac os x") & ~ios),
+        "is_linux": _flag(_names(ua, "linux") & ~android),
         "is_android": _flag(android),
         "is_ios": _flag(ios),
-        "is_mobile": _flag(android | ios | _has(ua, "Mobile")),
-        "is_bot": _flag(_has(ua, "bot|crawler|spider|wget/") | P.matches_any(F.col(ua), P.ATTACK_TOOLS)),
+        "is_mobile": _flag(android | ios | _names(ua, "mobile")),
+        "is_bot": _flag(_names(ua, "bot", "crawler", "spider", "wget/", *P.ATTACK_TOOLS)),
         "has_referrer": _flag(referred),
         "referrer_length": F.when(referred, F.length("referrer")).otherwise(0),
         "is_external_referrer": _flag(referred & (host != cfg.site_host)),

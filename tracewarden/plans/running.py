@@ -47,52 +47,33 @@ class Previous:
     value: Column
 
 
-def _sums_before(per_chunk: DataFrame, keys, names) -> DataFrame:
-    """Replace each chunk's sums by the sums over all earlier chunks."""
+def _before(per_chunk: DataFrame, keys, sums, lasts) -> DataFrame:
+    """Replace each chunk's sums and last values by those over all earlier chunks."""
     earlier = (W.unboundedPreceding, -1)
+    total = lambda n, w: F.coalesce(F.sum(n).over(w), F.lit(0))
+    last = lambda n, w: F.last(n, ignorenulls=True).over(w)
     if keys:
         w = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(*earlier)
         return per_chunk.select(
-            *keys, "_chunk", *[F.sum(n).over(w).alias(n) for n in names]
-        )
+            *keys, "_chunk", *[total(n, w).alias(n) for n in sums], *[last(n, w).alias(n) for n in lasts])
     grouped = per_chunk.withColumn("_group", chunk_group(per_chunk, "_chunk"))
     inside = W.partitionBy("_group").orderBy("_chunk").rowsBetween(*earlier)
     # One row per group of chunks: a few rows even for trillions of packets.
     across = W.orderBy("_group").rowsBetween(*earlier)
-    base = grouped.groupBy("_group").agg(*[F.sum(n).alias(n) for n in names]).select(
-        "_group", *[F.coalesce(F.sum(n).over(across), F.lit(0)).alias(f"_base_{n}") for n in names]
-    )
-    local = grouped.select(
-        "_group", "_chunk",
-        *[F.coalesce(F.sum(n).over(inside), F.lit(0)).alias(n) for n in names],
-    )
-    return local.join(base, "_group").select(
-        "_chunk", *[(F.col(n) + F.col(f"_base_{n}")).alias(n) for n in names]
-    )
-
-
-def _last_before(per_chunk: DataFrame, keys, names) -> DataFrame:
-    """Replace each chunk's last values by those of the nearest earlier chunk that has one."""
-    earlier = (W.unboundedPreceding, -1)
-    if keys:
-        w = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(*earlier)
-        return per_chunk.select(
-            *keys, "_chunk", *[F.last(n, ignorenulls=True).over(w).alias(n) for n in names]
-        )
-    grouped = per_chunk.withColumn("_group", chunk_group(per_chunk, "_chunk"))
-    inside = W.partitionBy("_group").orderBy("_chunk").rowsBetween(*earlier)
-    across = W.orderBy("_group").rowsBetween(*earlier)
+    known = lambda n: F.when(F.col(n).isNotNull(), F.col("_chunk"))
     base = grouped.groupBy("_group").agg(
-        *[F.max_by(F.when(F.col(n).isNotNull(), F.col(n)),
-                   F.when(F.col(n).isNotNull(), F.col("_chunk"))).alias(n) for n in names]
+        *[F.sum(n).alias(n) for n in sums], *[F.max_by(n, known(n)).alias(n) for n in lasts]
     ).select(
-        "_group", *[F.last(n, ignorenulls=True).over(across).alias(f"_base_{n}") for n in names]
+        "_group",
+        *[total(n, across).alias(f"_base_{n}") for n in sums],
+        *[last(n, across).alias(f"_base_{n}") for n in lasts],
     )
     local = grouped.select(
-        "_group", "_chunk", *[F.last(n, ignorenulls=True).over(inside).alias(n) for n in names]
-    )
+        "_group", "_chunk", *[total(n, inside).alias(n) for n in sums], *[last(n, inside).alias(n) for n in lasts])
     return local.join(base, "_group").select(
-        "_chunk", *[F.coalesce(F.col(n), F.col(f"_base_{n}")).alias(n) for n in names]
+        "_chunk",
+        *[(F.col(n) + F.col(f"_base_{n}")).alias(n) for n in sums],
+        *[F.coalesce(n, f"_base_{n}").alias(n) for n in lasts],
     )
 
 
@@ -114,29 +95,26 @@ def with_running(df: DataFrame, order: str, specs, width: int = CHUNK_ROWS) -> D
         *[s.value.alias(f"_in_{s.name}") for s in [*sums, *lasts]],
     )
     parts = [rows]
-
-    for keys, group in _by_keys(sums):
-        names = [f"_in_{s.name}" for s in group]
-        totals = rows.groupBy(*keys, "_chunk").agg(*[F.sum(n).alias(n) for n in names])
-        parts.append(_sums_before(totals, keys, names).withColumn("_rank", F.lit(0)))
-
-    for keys, group in _by_keys(lasts):
-        names = [f"_in_{s.name}" for s in group]
-        ends = rows.groupBy(*keys, "_chunk").agg(
-            *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in names]
-        )
-        parts.append(_last_before(ends, keys, names).withColumn("_rank", F.lit(0)))
-
-    for s in distincts:
-        # One +1 at the first row of each (keys, item); it enters the scan just before that row.
-        name = f"_in_{s.name}"
-        firsts = rows.groupBy(*s.keys, s.item).agg(F.min(order).alias(order))
-        firsts = firsts.select(
-            *s.keys, order, chunk_of(firsts, order, width).alias("_chunk"),
-            F.lit(1).alias("_rank"), F.lit(1).cast("bigint").alias(name),
+    for keys, group in _by_keys(specs):
+        inputs = [f"_in_{s.name}" for s in group if not isinstance(s, RunningDistinct)]
+        source = rows.select(*keys, order, "_chunk", *inputs)
+        for s in group:
+            if isinstance(s, RunningDistinct):
+                # One +1 at the first row of each (keys, item); it enters the scan just before that row.
+                firsts = rows.groupBy(*keys, s.item).agg(F.min(order).alias(order))
+                firsts = firsts.select(
+                    *keys, order, chunk_of(firsts, order, width).alias("_chunk"),
+                    F.lit(1).cast("bigint").alias(f"_in_{s.name}"),
+                )
+                parts.append(firsts.withColumn("_rank", F.lit(1)))
+                source = source.unionByName(firsts, allowMissingColumns=True)
+        added = [f"_in_{s.name}" for s in group if not isinstance(s, Previous)]
+        kept = [f"_in_{s.name}" for s in group if isinstance(s, Previous)]
+        per_chunk = source.groupBy(*keys, "_chunk").agg(
+            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in added],
+            *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in kept],
         )
-        totals = firsts.groupBy(*s.keys, "_chunk").agg(F.sum(name).alias(name))
-        parts += [firsts, _sums_before(totals, s.keys, [name]).withColumn("_rank", F.lit(0))]
+        parts.append(_before(per_chunk, keys, added, kept).withColumn("_rank", F.lit(0)))
 
     merged = parts[0]
     for part in parts[1:]:
