@@ -11,7 +11,7 @@ from tracewarden.functions import patterns as P
 from tracewarden.functions.text import LOG_LINE, second_of
 from tracewarden.operators import entries as E
 from tracewarden.operators import keyed, rules, running_features, stats
-from tracewarden.session import written_table
+from tracewarden.session import new_folder, written_table
 from tracewarden.sources import logs, sinks
 
 _ENTRIES = ["entries"]
@@ -90,6 +90,15 @@ def _(spark, sf_dir):
                     F.col("dt").isNull().alias("unparsable"))
 
 
+@query("log_file_scan", _PARSED + """
+SELECT ip, timestamp, method, endpoint, status, bytes_sent, referrer, user_agent, response_time FROM parsed""", _LINES)
+def _(spark, sf_dir):
+    """The lines as text files, scanned and parsed."""
+    folder = new_folder(spark, "log")
+    lines(spark, sf_dir).select("line").write.text(folder)
+    return logs.read_log(spark, folder).drop("seq", "dt")
+
+
 # -- projections and filters ------------------------------------------------------------------
 
 _SHOW = "seq, ip, timestamp, method, endpoint, status, bytes_sent, referrer, user_agent, response_time"
@@ -431,6 +440,14 @@ def _(spark, sf_dir):
     return sinks.threat_blocks(rules.detect_all(entries(spark, sf_dir))).select("rule_ord", "text")
 
 
+@query("threat_sink", _THREATS + f"\nSELECT {_OUT} FROM threats", _ENTRIES)
+def _(spark, sf_dir):
+    """Threats written to files and read back."""
+    folder = new_folder(spark, "threats")
+    sinks.write_threats(rules.detect_all(entries(spark, sf_dir)), folder)
+    return _out(spark.read.parquet(folder))
+
+
 @query("threat_json", _THREATS + """
 SELECT rule_ord, concat('{"type":"', type, '","severity":"', severity, '","source_ip":"', source_ip,
   '","description":"', description, '","evidence":["', replace(evidence, ' | ', '","'), '"],"timestamp":"', timestamp, '"}') AS json

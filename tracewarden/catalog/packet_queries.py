@@ -129,6 +129,29 @@ def _(spark, sf_dir):
     return S.all_ip(packets(spark, sf_dir)).select("packet_no", "src_ip", "dst_port", "protocol")
 
 
+_FILE = "SELECT src_ip, dst_ip, dst_port, protocol, size, ts FROM packets"
+
+
+def _as_file(spark, sf_dir):
+    return packets(spark, sf_dir).withColumnRenamed("ts", "timestamp").drop("packet_no")
+
+
+@query("packet_csv_scan", _FILE, _PACKETS)
+def _(spark, sf_dir):
+    """The packets as CSV files, chosen by suffix and read back."""
+    folder = new_folder(spark, "packets") + ".csv"
+    _as_file(spark, sf_dir).write.option("header", True).csv(folder)
+    return S.packet_scan(spark, folder).drop("seq")
+
+
+@query("packet_json_scan", _FILE, _PACKETS)
+def _(spark, sf_dir):
+    """The packets as JSON lines, read back."""
+    folder = new_folder(spark, "packets")
+    _as_file(spark, sf_dir).write.json(folder)
+    return S.packets_from_json(spark, folder, lines=True).drop("seq")
+
+
 # -- alerts -----------------------------------------------------------------------------------
 
 

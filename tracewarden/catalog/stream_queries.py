@@ -117,11 +117,10 @@ def _(spark, sf_dir):
 @query("stream_sessions", """
 , marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY src_ip ORDER BY ts) < 5 THEN 0 ELSE 1 END AS f FROM packets)
 , numbered AS (SELECT *, sum(f) OVER (PARTITION BY src_ip ORDER BY ts, packet_no) AS n FROM marked)
-SELECT src_ip, strftime(make_timestamp((min(ts) * 1000000)::BIGINT), '%Y-%m-%d %H:%M:%S.%g') AS start,
-  strftime(make_timestamp(((max(ts) + 5) * 1000000)::BIGINT), '%Y-%m-%d %H:%M:%S.%g') AS "end",
+SELECT src_ip, CAST(min(ts) * 1000000 AS BIGINT) AS start, CAST((max(ts) + 5) * 1000000 AS BIGINT) AS "end",
   count(*) AS packets, CAST(sum(size) AS BIGINT) AS bytes FROM numbered GROUP BY src_ip, n
 HAVING max(ts) + 5 <= (SELECT max(ts) - 120 FROM packets)""", _PACKETS)
 def _(spark, sf_dir):
     sessions = drained(J.stream_sessions(stream(spark, sf_dir, "packets")), "sessions")
     return sessions.withColumns({
-        c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS") for c in ("start", "end")})
+        c: F.unix_micros(c) for c in ("start", "end")})

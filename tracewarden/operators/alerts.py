@@ -11,6 +11,7 @@ from tracewarden.functions.text import severity_rank
 from tracewarden.operators.classify import is_attack
 from tracewarden.operators.running_features import alert_features, rate_windows
 from tracewarden.operators.stats import flow_totals
+from tracewarden.plans.skew import split_join
 from tracewarden.schema import MODEL_COLUMNS
 
 SIGNATURE = ["type", "severity", "detail", "ip"]
@@ -102,4 +103,4 @@ def alert_origin(alerts: DataFrame, packets: DataFrame) -> DataFrame:
         F.col("src_ip").alias("ip"), F.lit("flow").alias("item"),
         F.col("dst_ip").alias("key"), F.col("bytes").alias("value")
     ))
-    return rows.join(addresses, "ip", "left_semi")
+    return split_join(rows, addresses, ["ip"], ["item", "key"], "left_semi")

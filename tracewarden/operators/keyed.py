@@ -19,15 +19,19 @@ def upsert(df: DataFrame, key: str, value: Column, order: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("key")).agg(F.max_by(value, F.col(order)).alias("value"))
 
 
+def _spread(probes: DataFrame) -> list[str]:
+    return [c for c in probes.columns if c != "key"] or ["key"]
+
+
 def lookup(probes: DataFrame, table: DataFrame) -> DataFrame:
     """``probes(key, ...)`` with the value of each key, NULL where the key is missing."""
-    return split_join(probes, table, ["key"], [c for c in probes.columns if c != "key"] or ["key"], "left")
+    return split_join(probes, table, ["key"], _spread(probes), "left")
 
 
 def contains(probes: DataFrame, table: DataFrame) -> DataFrame:
     """Probes whose key is present with a value that is not NULL."""
     present = table.filter(F.col("value").isNotNull()).select("key")
-    return probes.join(present, "key", "left_semi")
+    return split_join(probes, present, ["key"], _spread(probes), "left_semi")
 
 
 def remove(table: DataFrame, keys: DataFrame) -> DataFrame:

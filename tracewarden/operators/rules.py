@@ -165,7 +165,7 @@ def scanner_addresses(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> Da
 
 def scanner_entries(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """All entries of scanner addresses."""
-    return entries.join(scanner_addresses(entries, cfg).select("ip"), "ip", "left_semi")
+    return _found(scanner_addresses(entries, cfg), entries, ["ip"])[1]
 
 
 def port_scan(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:

@@ -69,11 +69,12 @@ BROADCAST_BYTES = 64 << 20
 def rows_of_keys(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose keys occur in ``groups``, a stored table with one row per key.
 
-    A small table is broadcast, so that only the matching rows go on; beyond the limits the join shuffles.
+    A small table is broadcast, so that only the matching rows go on. Beyond the limits the join
+    shuffles, with hot keys split.
     """
     width = sum((F.length(F.col(k).cast("string")) for k in keys), F.lit(0))
     size = groups.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
     side = groups.select(*keys)
     if size["n"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES:
-        side = F.broadcast(side)
-    return rows.join(side, keys, "left_semi")
+        return rows.join(F.broadcast(side), keys, "left_semi")
+    return split_join(rows, side, keys, [c for c in rows.columns if c not in keys], "left_semi")
