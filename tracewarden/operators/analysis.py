@@ -26,7 +26,7 @@ class Analysis:
 
 def analyze(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> Analysis:
     """``entries`` is read once per rule: pass a stored table rather than a parse of raw text."""
-    threats = detect_all(entries, cfg)
+    threats = written_table(detect_all(entries, cfg), "threats")
     message = "No entries to analyze" if entries.isEmpty() else None
     return Analysis(threats, threat_summary(threats), log_statistics(entries), message)
 

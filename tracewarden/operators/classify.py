@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewarden.schema import MODEL_COLUMNS
+from tracewarden.session import written_table
 
 
 def model_input(features: DataFrame, order: str = "packet_no") -> DataFrame:
@@ -51,7 +52,6 @@ def anomalies(features: DataFrame) -> DataFrame:
 
 
 _BUCKETS = 4096
-_SMALL = 100_000
 
 
 def exact_percentile(df: DataFrame, column: str, q: float) -> float | None:
@@ -66,9 +66,14 @@ def exact_percentile(df: DataFrame, column: str, q: float) -> float | None:
     if not n:
         return None
     at = q * (n - 1)
-    first = _value_at(values, low, high, math.floor(at))
-    second = first if math.floor(at) == math.ceil(at) else _value_at(values, low, high, math.ceil(at))
-    return first + (second - first) * (at - math.floor(at))
+    rank = math.floor(at)
+    first = _value_at(values, low, high, rank)
+    if rank == at:
+        return first
+    up_to, above = values.agg(
+        F.count_if(F.col("v") <= first), F.min(F.when(F.col("v") > first, F.col("v")))).first()
+    second = first if up_to > rank + 1 else above
+    return first + (second - first) * (at - rank)
 
 
 def _value_at(values: DataFrame, low: float, high: float, rank: int) -> float:
@@ -92,7 +97,9 @@ def _value_at(values: DataFrame, low: float, high: float, rank: int) -> float:
 def fit_thresholds(labelled: DataFrame, inputs: list[str] | None = None, label: str = "label") -> DataFrame:
     """Thresholds from the rows labelled 0; the classifier itself does not read them."""
     names = list(inputs or MODEL_COLUMNS)
-    normal = labelled.filter(F.col(label) == 0)
+    # Stored once: the percentiles take several passes, and features are costly to derive.
+    normal = written_table(
+        labelled.filter(F.col(label) == 0).select(*names[:3]), "normal-rows")
     row = (
         exact_percentile(normal, names[0], 0.95),
         exact_percentile(normal, names[1], 0.95),

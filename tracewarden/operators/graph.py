@@ -184,6 +184,7 @@ def components_directed(e: DataFrame, isolated: DataFrame | None = None) -> Data
     These are the groups found by walking out-edges from the nodes in insertion order; they are
     not strongly or weakly connected components.
     """
+    e = cut_lineage(e)
     n = cut_lineage(nodes(e, isolated))
     return _named_roots(_spread_minimum(_ranked_edges(e, n), n), n)
 
@@ -193,6 +194,7 @@ def components_weak(e: DataFrame, isolated: DataFrame | None = None) -> DataFram
 
     Large-star and small-star steps in turn (Kiveris et al., 2014) until the links are stars.
     """
+    e = cut_lineage(e)
     n = cut_lineage(nodes(e, isolated))
     links = cut_lineage(_ranked_edges(e, n).select(
         F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.operators.entries import with_failed_flag
 from tracewarden.plans.running import Previous, RunningDistinct, RunningSum, with_running
-from tracewarden.plans.skew import split_join
+from tracewarden.plans.skew import hot_of_counts, split_join
 from tracewarden.plans.sliding import trailing_counts
 
 
@@ -110,8 +110,11 @@ def rate_limited(packets: DataFrame, order: str = "packet_no", cfg: DetectionCon
 
     Event time, both ends included; packets with equal time count for each other.
     """
-    over = rate_windows(packets, order, cfg).select("src_ip", "ts", "in_window")
-    return split_join(packets, over, ["src_ip", "ts"], [order])
+    keys = ["src_ip", "ts"]
+    over = rate_windows(packets, order, cfg)
+    total = packets.agg(F.count(F.lit(1)).alias("n")).scalar()
+    hot = hot_of_counts(over.select(*keys, F.col("at_time").alias("_n")), keys, total)
+    return split_join(packets, over.select(*keys, "in_window"), keys, [order], hot=hot)
 
 
 def volume_alerts(packets: DataFrame, order: str = "packet_no", cfg: DetectionConfig = DEFAULTS) -> DataFrame:

@@ -85,16 +85,19 @@ def log_statistics(entries: DataFrame) -> DataFrame:
 
 def threat_summary(threats: DataFrame) -> DataFrame:
     """``(metric, value)``: totals, distinct source texts, counts per severity and per type."""
-    totals = threats.agg(
-        F.count(F.lit(1)).alias("total_threats"),
+    # One pass over the threats; totals and types are both taken from these counts.
+    counts = threats.groupBy("type", "severity", "source_ip").agg(F.count(F.lit(1)).alias("n"))
+    number = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    totals = counts.agg(
+        number("n").alias("total_threats"),
         F.count_distinct("source_ip").alias("unique_attackers"),
-        *[F.count_if(F.col("severity") == s).alias(f"{s.lower()}_count")
+        *[number(F.when(F.col("severity") == s, F.col("n"))).alias(f"{s.lower()}_count")
           for s in ("CRITICAL", "HIGH", "MEDIUM", "LOW")],
     )
     named = F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in totals.columns
     ])
-    per_type = threats.groupBy("type").agg(F.count(F.lit(1)).alias("value"))
+    per_type = counts.groupBy("type").agg(F.sum("n").alias("value"))
     return totals.select(F.inline(named)).unionByName(
         per_type.select(F.concat(F.lit("type_"), F.col("type")).alias("metric"), "value"))
 

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A key is split when it holds more rows than this, and more than 1/MAX_HOT of all rows.
 HOT_ROWS = 1_000_000
 #: Hence at most this many keys can be hot, which bounds the broadcast table.
-MAX_HOT = 10_000
+MAX_HOT = 100_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys to split, with the number of parts for each. Never more than ``MAX_HOT`` rows."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = df.agg(
-        F.greatest(F.lit(hot_rows), F.floor(F.count(F.lit(1)) / MAX_HOT)).alias("limit")
-    )
-    return counts.filter(F.col("_n") > limit.scalar()).select(
+    return hot_of_counts(counts, keys, counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar(), hot_rows)
+
+
+def hot_of_counts(counts: DataFrame, keys: list[str], total: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """As :func:`hot_keys`, from known row counts ``_n`` per key and the total number of rows."""
+    limit = F.greatest(F.lit(hot_rows), F.floor(total / MAX_HOT))
+    return counts.filter(F.col("_n") > limit).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys],
         F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts"),
     )

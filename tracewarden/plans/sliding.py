@@ -8,7 +8,8 @@ from pyspark.sql.window import Window as W
 
 
 def trailing_counts(df: DataFrame, keys: list[str], time: str, seconds: int, **extra) -> DataFrame:
-    """Per (keys, time): ``in_window``, the rows with the same keys in ``[time - seconds, time]``.
+    """Per (keys, time): ``in_window``, the rows with the same keys in ``[time - seconds, time]``, and
+    ``at_time``, those at the very time.
 
     Rows with equal time are added up before the exchange. Each time then goes to its own stretch of
     ``seconds`` and, as context, to the next one, which is all that a trailing window can reach. So
@@ -25,5 +26,6 @@ def trailing_counts(df: DataFrame, keys: list[str], time: str, seconds: int, **e
     return (
         spread.withColumn("in_window", F.sum("_n").over(w))
         .filter(F.col("_home") == F.col("_stretch"))
-        .drop("_home", "_stretch", "_n")
+        .withColumnRenamed("_n", "at_time")
+        .drop("_home", "_stretch")
     )
