@@ -63,8 +63,10 @@ SELECT event_id AS packet_no,
   CAST(1704067200 + b * 3600 + s + (event_id % 32) / 32.0 AS DOUBLE) AS ts
 FROM base""",
     "edges": """
-SELECT concat('n', user_id) AS src, concat('n', k) AS dst, count(*) AS weight, min(event_id) AS first_seq
-FROM base WHERE event_id % 80 = 7 GROUP BY 1, 2""",
+SELECT concat(event_type, '-', user_id) AS src,
+  concat(event_type, '-', CAST(floor(user_id / CASE WHEN k % 2 = 0 THEN 2 ELSE 3 END) AS BIGINT)) AS dst,
+  count(*) AS weight, min(event_id) AS first_seq
+FROM base GROUP BY 1, 2""",
 }
 
 NEEDS = {
