@@ -123,8 +123,7 @@ _S = "nullif((max(ts) - min(ts)), 0)"
 _SUB = "(count(*) FILTER (gap > 1000000) + 1)"
 
 
-@query("flow_volume_features", _FLOWS + f"""
-SELECT {_KEY}, dst_port AS "Destination Port", (max(ts) - min(ts)) * 1000000 AS "Flow Duration",
+_VOLUME = f"""SELECT {_KEY}, dst_port AS "Destination Port", (max(ts) - min(ts)) * 1000000 AS "Flow Duration",
   count(*) AS "Total Fwd Packets", CAST(0 AS BIGINT) AS "Total Backward Packets",
   CAST(sum(size) AS BIGINT) AS "Total Length of Fwd Packets", CAST(0 AS BIGINT) AS "Total Length of Bwd Packets",
   {_spread('CAST(size AS DOUBLE)', 'Fwd Packet Length')},
@@ -139,24 +138,32 @@ SELECT {_KEY}, dst_port AS "Destination Port", (max(ts) - min(ts)) * 1000000 AS
   round(count(*) / CAST({_SUB} AS DOUBLE), 4) AS "Subflow Fwd Packets",
   round(sum(size) / CAST({_SUB} AS DOUBLE), 4) AS "Subflow Fwd Bytes",
   CAST(0 AS DOUBLE) AS "Subflow Bwd Packets", CAST(0 AS DOUBLE) AS "Subflow Bwd Bytes"
-FROM flows GROUP BY {_KEY}""", ["packets"])
+FROM flows GROUP BY {_KEY}"""
+
+
+@query("flow_volume_features", _FLOWS + "\n" + _VOLUME, ["packets"])
 def _(spark, sf_dir):
     return _rounded(L.flow_volume_features(packets(spark, sf_dir)))
 
 
-@query("flow_iat_features", _FLOWS + f"""
-SELECT {_KEY}, {_spread('gap', 'Flow IAT')}, round(sum(gap), 4) AS "Fwd IAT Total", {_spread('gap', 'Fwd IAT')},
+_IAT = f"""SELECT {_KEY}, {_spread('gap', 'Flow IAT')}, round(sum(gap), 4) AS "Fwd IAT Total", {_spread('gap', 'Fwd IAT')},
   {_nulls([f'Bwd IAT {m}' for m in ('Total', 'Mean', 'Std', 'Max', 'Min')])}
-FROM flows GROUP BY {_KEY}""", ["packets"])
+FROM flows GROUP BY {_KEY}"""
+
+
+@query("flow_iat_features", _FLOWS + "\n" + _IAT, ["packets"])
 def _(spark, sf_dir):
     return _rounded(L.flow_iat_features(packets(spark, sf_dir)))
 
 
-@query("flow_active_idle", _FLOWS + f"""
+_BURSTS = f"""
 , numbered AS (SELECT *, sum(CASE WHEN gap > 1000000 THEN 1 ELSE 0 END) OVER (PARTITION BY {_KEY} ORDER BY packet_no) AS burst FROM flows)
 , bursts AS (SELECT {_KEY}, burst, (max(ts) - min(ts)) * 1000000 AS active,
-  max(CASE WHEN gap > 1000000 THEN gap END) AS idle FROM numbered GROUP BY {_KEY}, burst)
-SELECT {_KEY}, {_spread('active', 'Active')}, {_spread('idle', 'Idle')} FROM bursts GROUP BY {_KEY}""", ["packets"])
+  max(CASE WHEN gap > 1000000 THEN gap END) AS idle FROM numbered GROUP BY {_KEY}, burst)"""
+_ACTIVE = f"""SELECT {_KEY}, {_spread('active', 'Active')}, {_spread('idle', 'Idle')} FROM bursts GROUP BY {_KEY}"""
+
+
+@query("flow_active_idle", _FLOWS + _BURSTS + "\n" + _ACTIVE, ["packets"])
 def _(spark, sf_dir):
     return _rounded(L.flow_active_idle(packets(spark, sf_dir), cfg=_CFG))
 
@@ -185,9 +192,19 @@ def _(spark, sf_dir):
     }))
 
 
-@query("flow_features")
+_HEADER = [
+    "Fwd PSH Flags", "Fwd URG Flags", "Fwd Header Length", "Bwd Header Length",
+    *[f"{flag} Flag Count" for flag in L.FLAG_BITS], "Fwd Header Length.1",
+    "Init_Win_bytes_forward", "Init_Win_bytes_backward", "act_data_pkt_fwd", "min_seg_size_forward",
+]
+
+
+@query("flow_features", _FLOWS + _BURSTS + f"""
+, v AS ({_VOLUME}), i AS ({_IAT}), a AS ({_ACTIVE})
+SELECT *, {_nulls(_HEADER, 'BIGINT')} FROM v JOIN i USING ({_KEY}) JOIN a USING ({_KEY})""", ["packets"])
 def _(spark, sf_dir):
-    return L.flow_features(packets(spark, sf_dir))
+    """All flow columns; the packet record has no TCP fields, so those are NULL."""
+    return _rounded(L.flow_features(packets(spark, sf_dir), cfg=_CFG))
 
 
 # -- bytes ------------------------------------------------------------------------------------

@@ -38,6 +38,13 @@ SELECT DISTINCT type, severity, detail, ip FROM raised"""
 _SIGNATURE = ["type", "severity", "detail", "ip"]
 
 
+def _oversized(spark, sf_dir) -> DataFrame:
+    return stream(spark, sf_dir, "packets").filter(F.col("size") > 1500).select(
+        F.lit("OVERSIZED").alias("type"), F.lit("medium").alias("severity"),
+        F.concat(F.lit("size "), F.col("size").cast("string")).alias("detail"),
+        F.col("src_ip").alias("ip"), F.timestamp_seconds("ts").alias("event_time"))
+
+
 @query("packet_stream_source", "SELECT packet_no, src_ip, dst_port FROM packets WHERE protocol = 'TCP'", _PACKETS)
 def _(spark, sf_dir):
     tcp = S.tcp_only(stream(spark, sf_dir, "packets")).select("packet_no", "src_ip", "dst_port")
@@ -74,10 +81,7 @@ def _(spark, sf_dir):
 SELECT DISTINCT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size) AS detail, src_ip AS ip
 FROM packets WHERE size > 1500""", _PACKETS)
 def _(spark, sf_dir):
-    raised = stream(spark, sf_dir, "packets").filter(F.col("size") > 1500).select(
-        F.lit("OVERSIZED").alias("type"), F.lit("medium").alias("severity"),
-        F.concat(F.lit("size "), F.col("size").cast("string")).alias("detail"),
-        F.col("src_ip").alias("ip"), F.timestamp_seconds("ts").alias("event_time"))
+    raised = _oversized(spark, sf_dir)
     return drained(J.stream_alert_dedup(raised, forever=True), "dedup").select(*_SIGNATURE)
 
 
@@ -86,14 +90,21 @@ SELECT DISTINCT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size)
 FROM packets WHERE size > 1500""", _PACKETS)
 def _(spark, sf_dir):
     """A pipeline that writes alerts, and a reader that fetches what is new."""
-    raised = stream(spark, sf_dir, "packets").filter(F.col("size") > 1500).select(
-        F.lit("OVERSIZED").alias("type"), F.lit("medium").alias("severity"),
-        F.concat(F.lit("size "), F.col("size").cast("string")).alias("detail"),
-        F.col("src_ip").alias("ip"), F.timestamp_seconds("ts").alias("event_time"))
+    raised = _oversized(spark, sf_dir)
     fetched = chained(J.stream_alert_dedup(raised), lambda new: new, "alerts")
     return drained(fetched, "fetched").select(*_SIGNATURE)
 
 
+@query("stream_reset", """
+SELECT DISTINCT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size) AS detail, src_ip AS ip
+FROM packets WHERE size > 1500""", _PACKETS)
+def _(spark, sf_dir):
+    """Run, then reset by starting over with fresh folders: every alert is raised again."""
+    alerts = J.stream_alert_dedup(_oversized(spark, sf_dir))
+    drained(alerts, "before-reset")
+    return drained(alerts, "after-reset").select(*_SIGNATURE)
+
+
 @query("stream_ddos_burst", """
 SELECT endpoint, strftime(dt, '%Y-%m-%d %H:%M:%S') AS start, count(DISTINCT ip) AS ips FROM entries
 WHERE dt + INTERVAL 1 SECOND <= (SELECT max(dt) - INTERVAL 2 MINUTE FROM entries)

@@ -250,7 +250,10 @@ def attack_tools(entries: DataFrame) -> DataFrame:
 
 
 def detect_all(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
-    """Threats of all rules; order them by ``rule_ord, seq``."""
+    """Threats of all rules; order them by ``rule_ord, seq``.
+
+    Each rule scans the entries, and finding the groups runs jobs at once: pass a stored table.
+    """
     parts = [
         brute_force(entries, cfg),
         entry_threats(entries, cfg),
