@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracewarden.llm import simhash
+from tracewarden.llm import repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op5_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_substring_dedup(spark, sf_dir):
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "repeats.n_words", "repeats.n_removed",
+                        F.sha2("repeats.kept", 256).alias("kept_sha256"))
