@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm import repeats, simhash
+from tracewarden.llm import quality, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,11 @@ def op3_substring_dedup(spark, sf_dir):
     found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "repeats.n_words", "repeats.n_removed",
                         F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = quality.judged(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines",
+                        "quality.n_repeat_words", "quality.base_failed", "quality.kept", "quality.rejected_by")
