@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm import quality, repeats, simhash
+from tracewarden.llm import language, quality, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,12 @@ def op8_quality_rules(spark, sf_dir):
     found = quality.judged(docs, table(spark, sf_dir, "labels"))
     return found.select("doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines",
                         "quality.n_repeat_words", "quality.base_failed", "quality.kept", "quality.rejected_by")
+
+
+@query
+def op7_language_mixture(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs.filter(~language.held_out() & F.col("doc_id").isNotNull()))
+    found = language.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out().alias("held_out"), F.col("language.pred").alias("lang_pred"),
+                        "language.score", "language.parts")
