@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm import language, quality, repeats, simhash
+from tracewarden.llm import bpe, language, packing, quality, repeats, simhash, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +50,20 @@ def op7_language_mixture(spark, sf_dir):
     found = language.identified(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language.held_out().alias("held_out"), F.col("language.pred").alias("lang_pred"),
                         "language.score", "language.parts")
+
+
+@query
+def op10_best_fit_packing(spark, sf_dir):
+    return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+@query
+def op9_wavelet_tokens(spark, sf_dir):
+    return wavelet.stored_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op2_forced_boundary_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return found.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
