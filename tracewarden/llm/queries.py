@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm import bpe, language, packing, quality, repeats, simhash, wavelet
+from tracewarden.llm import bpe, chat, language, packing, quality, repeats, simhash, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,26 @@ def op2_forced_boundary_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = bpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
     return found.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
+
+
+@query
+def op6_chat_windows(spark, sf_dir):
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    found = chat.read_back(chat.windows(turns))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("targets", "")
+    return found.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query
+def op4_warc_fixity(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    # The second replica loses a bit in about one of a hundred records, chosen by their ids.
+    damaged = F.crc32(F.col("page_id").cast("string").cast("binary")) % 101 == 0
+    return warc.audited_replicas(pages, damaged)
