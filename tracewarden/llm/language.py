@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewarden.llm.words import per_document, texts
+from tracewarden.llm.words import free_name, per_document, texts
 
 BUCKETS = 1 << 14
 MAX_LANGUAGES = 1000
@@ -160,9 +160,10 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     determined and only texts without letters go.
     """
     model = learn(docs.filter(~held_out() & F.col("doc_id").isNotNull()))
-    rows = identified(docs, model, "__language")
+    name = free_name(docs, "language")
+    rows = identified(docs, model, name)
     if model.languages:
-        rows = rows.filter((F.col("__language.pred") != UNDETERMINED) & (F.col("__language.score") >= least))
+        rows = rows.filter((F.col(f"{name}.pred") != UNDETERMINED) & (F.col(f"{name}.score") >= least))
     else:
         rows = rows.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return rows.drop("__language")
+    return rows.drop(name)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewarden.llm.words import RollingHash, hashes_of, per_document, texts
+from tracewarden.llm.words import RollingHash, free_name, hashes_of, per_document, texts
 from tracewarden.session import written_table
 
 #: Share of good texts that a stratum may lose to the learned rules, and the probability of being wrong.
@@ -146,26 +146,28 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: Column | None = None, na
     ``docs`` has ``doc_id, text`` and, for the default stratum, ``lang``; ``labels`` has ``doc_id, quality``. A null stratum is a stratum of
     its own. Labels without a document, and null labels, teach nothing; repeated documents or labels count as often as they occur. Without labels
     only the fixed rule acts. Null and empty texts have no words and fail the fixed rule. Rows are all kept, repeated ones too;
-    columns of ``docs`` named as the result, ``__stratum`` or ``__cutoffs`` are replaced.
+    a column of ``docs`` named as the result is replaced.
     """
-    docs = docs.select(*[c for c in docs.columns if c not in (name, "__stratum", "__cutoffs")])
+    docs = docs.select(*[c for c in docs.columns if c != name])
+    stratum_name, limits = free_name(docs, "stratum"), free_name(docs, "cutoffs")
     layer = F.coalesce((F.col("lang") if stratum is None else stratum).cast("string"), F.lit(""))
     holdout = labels.filter(F.col("quality").isNotNull()).select("doc_id", (F.col("quality") == 1).cast("int").alias("good"))
     taught = docs.select("doc_id", "text", layer.alias("stratum")).join(holdout, "doc_id").select("stratum", "good", "text")
     table = cutoffs(measured(taught).drop("text"))
     # One row per stratum. It is stored, so Spark knows its size before it decides on a broadcast.
     table = written_table(table.filter(F.col("cutoff").isNotNull()).groupBy("stratum").agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("__cutoffs")), "quality-cutoffs")
-    rows = measured(docs.withColumn("__stratum", layer), name).join(
-        table.withColumnRenamed("stratum", "__stratum"), "__stratum", "left")
+        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(limits)), "quality-cutoffs")
+    rows = measured(docs.withColumn(stratum_name, layer), name).join(
+        table.withColumnRenamed("stratum", stratum_name), stratum_name, "left")
     by = F.array_compact(F.array(*[
-        F.when(ratio(name, r) > F.col("__cutoffs")[r], F.lit(r)) for r in RULES]))
+        F.when(ratio(name, r) > F.col(limits)[r], F.lit(r)) for r in RULES]))
     failed = base_failed(name)
     return rows.withColumn(name, F.struct(
         *[F.col(f"{name}.{m}").alias(m) for m in METRICS], failed.alias("base_failed"), by.alias("rejected_by"),
-        (~failed & (F.size(by) == 0)).alias("kept"))).drop("__stratum", "__cutoffs")
+        (~failed & (F.size(by) == 0)).alias("kept"))).drop(stratum_name, limits)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`judged` keeps, with the columns of ``docs``."""
-    return judged(docs, labels, name="__quality").filter("__quality.kept").drop("__quality")
+    name = free_name(docs, "quality")
+    return judged(docs, labels, name=name).filter(f"{name}.kept").select(*docs.columns)

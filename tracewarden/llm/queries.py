@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm import bpe, chat, language, packing, quality, repeats, simhash, warc, wavelet
+from tracewarden.llm import bpe, chat, language, packing, quality, repeats, search, simhash, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,8 @@ def op4_warc_fixity(spark, sf_dir):
     # The second replica loses a bit in about one of a hundred records, chosen by their ids.
     damaged = F.crc32(F.col("page_id").cast("string").cast("binary")) % 101 == 0
     return warc.audited_replicas(pages, damaged)
+
+
+@query
+def op1_bm25_top_k(spark, sf_dir):
+    return search.top_k(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewarden.llm.words import RollingHash, hashes_of, per_document, texts
+from tracewarden.llm.words import RollingHash, free_name, hashes_of, per_document, texts
 from tracewarden.plans.skew import rows_of_keys
 from tracewarden.session import written_table
 
@@ -62,10 +62,10 @@ def _long(array: np.ndarray) -> pa.Array:
     return pa.array(array.view(np.int64) if array.dtype == np.uint64 else array)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, name: str = "__key") -> DataFrame:
     """``docs`` with the key of the text, null as empty."""
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    return docs.withColumn("__key", F.unhex(digest))
+    return docs.withColumn(name, F.unhex(digest))
 
 
 def _seeds(docs: DataFrame, width: int) -> DataFrame:
@@ -151,20 +151,22 @@ def _covered(n: int, marks: list[dict], width: int) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``docs`` (any columns, among them ``text``) with a column ``repeats``:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, name: str = "repeats") -> DataFrame:
+    """``docs`` (any columns, among them ``text``) with a column ``name``:
     ``struct<n_words, n_removed, kept, spans>``.
 
     A word goes if a window of ``width`` consecutive words of its text covers it that also starts
     anywhere else, in the same text, a copy or another text; all its occurrences go. ``kept`` joins the
     other words with one space; ``spans`` are the maximal repeats as word positions ``[start, end)``. Windows are judged on
     the input. Null and empty texts have no words; texts shorter than a window keep all words; repeated rows repeat each other and
-    so lose their words; an empty table gives no rows. Columns of ``docs`` named ``repeats``, ``__key`` or ``__marks`` are replaced.
+    so lose their words; an empty table gives no rows. A column of ``docs`` of the result's name is replaced.
     """
     assert 1 <= width <= 62
-    names = [c for c in docs.columns if c not in ("repeats", "__key", "__marks")]
+    names = [c for c in docs.columns if c != name]
     docs = docs.select(*names)
-    joined = _keyed(docs).join(_marks(docs, width), "__key", "left").drop("__key")
+    key, marked = free_name(docs, "key"), free_name(docs, "marks")
+    marks = _marks(docs, width).withColumnsRenamed({"__key": key, "__marks": marked})
+    joined = _keyed(docs, key).join(marks, key, "left").drop(key)
 
     def make(batch: pa.RecordBatch) -> dict:
         counts, removed, kept, spans = [], [], [], []
@@ -183,11 +185,24 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             kept.append(b" ".join(left).decode())
             spans.append(runs)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return {"repeats": pa.StructArray.from_arrays(
+        return {name: pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept), pa.array(spans, kind)],
             ["n_words", "n_removed", "kept", "spans"])}
 
-    result = per_document(joined, [*names, "__marks"], (
-        "repeats struct<n_words: bigint, n_removed: bigint, kept: string, spans: array<struct<start: bigint, end: bigint>>>"
+    result = per_document(joined, [*names, marked], (
+        f"`{name}` struct<n_words: bigint, n_removed: bigint, kept: string, spans: array<struct<start: bigint, end: bigint>>>"
     ), make)
-    return result.drop("__marks")
+    return result.drop(marked)
+
+
+def keep_unrepeated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` without their repeated passages, with their columns: a text that loses words becomes the rest of its words (and ``n_chars``, where
+    there is one, its length); a text that loses all its words goes. Other rows stay as they are."""
+    name = free_name(docs, "repeats")
+    found = remove_repeats(docs, width, name)
+    lost = F.col(f"{name}.n_removed") > 0
+    found = found.filter(~lost | (F.col(f"{name}.n_removed") < F.col(f"{name}.n_words")))
+    text = F.when(lost, F.col(f"{name}.kept")).otherwise(F.col("text"))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(lost, F.length(f"{name}.kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return found.withColumn("text", text).select(*docs.columns)

@@ -21,9 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewarden.llm.words import per_document
+from tracewarden.llm.words import free_name, per_document
 from tracewarden.llm.words import texts as texts_of
 from tracewarden.operators.graph import components_weak
+from tracewarden.plans.skew import rows_of_keys
 from tracewarden.session import written_table
 
 SHINGLE = 3
@@ -176,6 +177,14 @@ def components(points: DataFrame) -> DataFrame:
         F.col("node").alias("fp"), "component")
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """``fp, component`` for every fingerprint of ``rows(fp, ...)``."""
+    points = written_table(rows.select("fp").distinct(), "simhash-points")
+    member = components(points).withColumnRenamed("fp", "_fp")
+    return points.join(member, points["fp"] == member["_fp"], "left").select(
+        "fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for each row of ``docs(doc_id, text)``.
 
@@ -186,11 +195,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     other than the two are not read.
     """
     rows = written_table(fingerprints(docs), "simhash-fingerprints")
-    per_point = written_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-points")
-    member = components(per_point).withColumnRenamed("fp", "_fp")
-    placed = per_point.join(member, per_point["fp"] == member["_fp"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
+    placed = _placed(rows).join(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp")
     least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     by_point = written_table(placed.join(least, "component").select("fp", "component_id"), "simhash-components")
     return rows.join(by_point, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component of ``docs(doc_id, text, ...)``, with all columns: that of the smallest ``doc_id`` (a null one only where there is no other),
+    of its texts that with the smallest digest; rows that repeat id and text leave one of themselves."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    key = free_name(docs, "key")
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.concat(text("doc_id"), F.lit("|"), text("text")))))
+    rows = written_table(fingerprints(keyed, ["doc_id", key]), "simhash-rows")
+    first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key)).alias("least"))
+    stay = _placed(rows).join(first, "fp").groupBy("component").agg(F.min("least").alias("least"))
+    stay = written_table(stay.select(f"least.{key}"), "simhash-stay")
+    return rows_of_keys(keyed, stay, [key]).dropDuplicates([key]).drop(key)

@@ -74,6 +74,14 @@ class RollingHash:
         return (self.sums[width:] - self.sums[:n]) * self.down[:n]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes | None]:
     """The texts of a batch as UTF-8 bytes, one at a time."""
     for value in batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()):
@@ -83,7 +91,7 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes | None]
 def per_document(docs: DataFrame, columns: list[str], schema: str, make: Callable[[pa.RecordBatch], dict]) -> DataFrame:
     """One output row per document: ``columns`` as they are, and what ``make`` returns for a batch
     (name to list or array, in the order of ``schema``)."""
-    kept = docs.select(*columns, "text") if "text" not in columns else docs.select(*columns)
+    kept = docs.select(*columns, *(["text"] if "text" not in columns else []))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
