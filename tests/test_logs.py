@@ -71,11 +71,12 @@ def test_timestamps(spark, stamp, expected):
 def test_scan_drops_bad_bytes_and_keeps_order(spark, tmp_path):
     for f in range(2):
         rows = [line(f"10.0.{f}.{i % 250}", "10:15:30", f"GET /{f}/{i}", 200) for i in range(400)]
-        (tmp_path / f"part{f}.log").write_bytes(b"\n".join(r.encode() for r in rows) + b"\n/\xff\xfe\n")
+        (tmp_path / f"part{f}.log").write_bytes(b"\n".join(r.encode() for r in rows) + "\na�b".encode() + b"\n/\xff\xfe\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         scanned = logs.log_scan(spark, str(tmp_path))
         assert scanned.filter(F.col("line") == "/").count() == 2
+        assert scanned.filter(F.col("line") == "a�b").count() == 2  # a real one stays
         got = [r.endpoint for r in logs.parse_lines(scanned).orderBy("seq").collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -44,6 +44,28 @@ def test_json_array_and_lines(spark, tmp_path):
         assert [r.dst_port for r in df.orderBy("seq").collect()] == [0, 1, 2]
     with pytest.raises(ValueError):
         S.packet_scan(spark, "p.CSV")
+    # The dispatcher finds the form, and loses nothing.
+    assert S.packet_scan(spark, str(tmp_path / "lines.json")).count() == 3
+    (tmp_path / "tall.json").write_text(json.dumps(rows, indent=1))
+    assert S.packet_scan(spark, str(tmp_path / "tall.json")).count() == 3
+    with pytest.raises(ValueError):
+        S.packets_from_json(spark, str(tmp_path))
+
+
+def test_differing_headers_raise(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("src_ip,dst_ip,dst_port,protocol,size,timestamp\na,b,22,TCP,40,1\n")
+    (tmp_path / "b.csv").write_text("dst_ip,src_ip,dst_port,protocol,size,timestamp\nb,a,22,TCP,40,1\n")
+    with pytest.raises(Exception, match="CSV header"):
+        S.packets_from_csv(spark, str(tmp_path)).collect()
+
+
+def test_percentile_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    at = lambda values, q: C.exact_percentile(spark.createDataFrame([(v,) for v in values], "v double"), "v", q)
+    assert at([1.0, 2.0, 3.0, nan, None], 0.5) == 2.0
+    assert at([1.0, 2.0, inf], 0.5) == 2.0 and at([1.0, 2.0, inf], 1.0) == inf
+    assert at([-inf, -inf, 5.0, inf], 0.25) == -inf and at([-inf, 4.0, 5.0], 0.75) == 4.5
+    assert at([nan], 0.5) is None
 
 
 def test_protocol_variants(spark):

@@ -46,6 +46,24 @@ def test_rate_limit_over_batches(spark, tmp_path):
     assert got == {(r.packet_no, r.in_window) for r in batch} and got
 
 
+def test_late_rows_and_repeated_alerts_over_batches(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    row = lambda n, ts: (n, "a", "b", 22, "TCP", 40, float(ts))
+    # 30 packets and a later one; in the next batch one that is late, but not too late for the watermark.
+    first = [row(i, 1000) for i in range(30)] + [row(30, 1090)]
+    write(spark, folder, first, "b0")
+    write(spark, folder, [row(31, 1010)], "b1")
+    drain(J.stream_rate_limit(source(spark, folder)), str(tmp_path / "out"), str(tmp_path / "state"))
+    assert [(r.packet_no, r.in_window) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(31, 31)]
+    for n in range(3):
+        write(spark, str(tmp_path / "far"), [row(n, 1000 * (n + 1))], f"b{n}")
+    alerts = J.stream_alert_dedup(source(spark, str(tmp_path / "far")).select(
+        F.lit("T").alias("type"), F.lit("low").alias("severity"), F.lit("d").alias("detail"), F.col("src_ip").alias("ip"),
+        F.timestamp_seconds("ts").alias("event_time")))
+    drain(alerts, str(tmp_path / "alerts"), str(tmp_path / "alerts-state"))
+    assert spark.read.parquet(str(tmp_path / "alerts")).count() == 1
+
+
 def test_new_alerts_and_reset(spark, tmp_path):
     rows, folder = packet_rows(), str(tmp_path / "in")
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
@@ -81,6 +99,7 @@ def test_shared_folder(spark, monkeypatch):
     class Cluster:
         class sparkContext:
             master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
 
         class conf:
             get = staticmethod(lambda key, default: None)

@@ -36,6 +36,8 @@ class DetectionConfig:
     site_host: str = "example.com"
     # Streams.
     watermark: str = "2 minutes"
+    #: Running values of an address start anew when it was silent for so long; never, if None.
+    idle_state_s: float | None = None
     trigger: str = "500 milliseconds"
 
 

@@ -55,24 +55,36 @@ _BUCKETS = 4096
 
 
 def exact_percentile(df: DataFrame, column: str, q: float) -> float | None:
-    """Percentile with linear interpolation, exact at any size.
+    """Percentile with linear interpolation, exact at any size. Nulls and NaN don't count; infinite values are
+    the smallest and largest, and between different values of which one is infinite the other is not interpolated to.
 
     Each round counts the values in ``_BUCKETS`` equal ranges (one small row per range) and keeps the
     range that holds the wanted rank, until few distinct values are left. Only those counts reach the
     driver, never the values of the data.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    low, high, n = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    values = df.select(F.col(column).cast("double").alias("v")).filter(
+        F.col("v").isNotNull() & ~F.isnan("v"))
+    finite = F.abs("v") != math.inf
+    low, high, under, inside, n = values.agg(
+        F.min(F.when(finite, F.col("v"))), F.max(F.when(finite, F.col("v"))),
+        F.count_if(F.col("v") == -math.inf), F.count_if(finite), F.count("v")).first()
     if not n:
         return None
     at = q * (n - 1)
     rank = math.floor(at)
-    first = _value_at(values, low, high, rank)
+    if rank < under:
+        first = -math.inf
+    elif rank >= under + inside:
+        first = math.inf
+    else:
+        first = _value_at(values.filter(finite), low, high, rank - under)
     if rank == at:
         return first
     up_to, above = values.agg(
         F.count_if(F.col("v") <= first), F.min(F.when(F.col("v") > first, F.col("v")))).first()
     second = first if up_to > rank + 1 else above
+    if first == second or math.isinf(first):
+        return first
     return first + (second - first) * (at - rank)
 
 

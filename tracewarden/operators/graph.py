@@ -6,14 +6,14 @@ Nodes are ranked by insertion: an edge inserts its source, then its target. The
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewarden.plans.skew import HOT_ROWS, hot_keys, split_join
 from tracewarden.session import cut_lineage
 
-MAX_ROUNDS = 1000
-
 
 def edges(df: DataFrame, src: str, dst: str, order: str, weight: Column | None = None,
           directed: bool = True) -> DataFrame:
@@ -121,7 +121,7 @@ def bfs(e: DataFrame, start: str) -> DataFrame:
     frontier = cut_lineage(nodes(e).filter(F.col("node") == start).select(
         "node", F.lit(0).alias("depth"), F.array().cast("array<bigint>").alias("path_key")))
     seen = frontier
-    for depth in range(1, MAX_ROUNDS + 1):
+    for depth in count(1):
         if frontier.isEmpty():
             return seen
         step = split_join(
@@ -135,7 +135,6 @@ def bfs(e: DataFrame, start: str) -> DataFrame:
         seen = seen.unionByName(frontier)
         if depth % 16 == 0:
             seen = cut_lineage(seen)
-    raise RuntimeError(f"more than {MAX_ROUNDS} levels")
 
 
 def _spread_minimum(links: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -149,7 +148,7 @@ def _spread_minimum(links: DataFrame, ranks: DataFrame) -> DataFrame:
     n_links, n_nodes = links.count(), ranks.count()
     hot = cut_lineage(hot_keys(links, ["a"])) if n_links > HOT_ROWS else None
     state = cut_lineage(ranks.select("rank", F.col("rank").alias("root"), F.lit(True).alias("changed")))
-    for _ in range(MAX_ROUNDS):
+    while True:
         # Only nodes that changed can improve their neighbours.
         moved = state.filter("changed").select(F.col("rank").alias("a"), "root")
         offers = split_join(links, moved, ["a"], ["b"], hot=hot, total=n_links).select(
@@ -169,7 +168,6 @@ def _spread_minimum(links: DataFrame, ranks: DataFrame) -> DataFrame:
             ))
         if state.filter("changed").isEmpty():
             return state.select("rank", "root")
-    raise RuntimeError(f"no fixpoint after {MAX_ROUNDS} rounds")
 
 
 def _named_roots(assigned: DataFrame, n: DataFrame) -> DataFrame:
@@ -198,13 +196,11 @@ def components_weak(e: DataFrame, isolated: DataFrame | None = None) -> DataFram
     n = cut_lineage(nodes(e, isolated))
     links = cut_lineage(_ranked_edges(e, n).select(
         F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct())
-    for _ in range(MAX_ROUNDS):
+    while True:
         total, tangled = _shape(links)
         if not tangled:
             break
         links = cut_lineage(_small_star(cut_lineage(_large_star(links, total)), total))
-    else:
-        raise RuntimeError(f"no fixpoint after {MAX_ROUNDS} rounds")
     # Every node is now linked to its component's smallest rank, and to nothing else.
     members = links.select(F.col("high").alias("rank"), F.col("low").alias("root"))
     alone = n.select("rank").join(members, "rank", "left_anti")

@@ -20,7 +20,7 @@ def upsert(df: DataFrame, key: str, value: Column, order: str) -> DataFrame:
 
 
 def _spread(probes: DataFrame) -> list[str]:
-    return [c for c in probes.columns if c != "key"] or ["key"]
+    return [c for c in probes.columns if c != "key"]
 
 
 def lookup(probes: DataFrame, table: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def contains(probes: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def remove(table: DataFrame, keys: DataFrame) -> DataFrame:
-    return table.join(keys.select("key"), "key", "left_anti")
+    return split_join(table, keys.select("key").distinct(), ["key"], _spread(table), "left_anti")
 
 
 def keys(table: DataFrame) -> DataFrame:

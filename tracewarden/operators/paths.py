@@ -35,7 +35,8 @@ def _distinct_trimmed(paths: DataFrame, path: str) -> DataFrame:
 
 def _probe(probes: DataFrame, table: DataFrame) -> DataFrame:
     keyed = probes.withColumn("_trimmed", trimmed_path(F.col("probe")))
-    return split_join(keyed, table, ["_trimmed"], ["probe"], "left").drop("_trimmed")
+    # Equal probes have equal keys, so they are spread by their number.
+    return split_join(keyed, table, ["_trimmed"], [], "left").drop("_trimmed")
 
 
 def search(probes: DataFrame, paths: DataFrame, path: str = "endpoint") -> DataFrame:

@@ -38,7 +38,8 @@ def split_join(
 ) -> DataFrame:
     """Join ``rows`` with ``lookup`` (one row per key), spreading hot keys over several tasks.
 
-    The rows of a hot key are dealt to parts by a hash of ``spread_on``; the one lookup row of that
+    The rows of a hot key are dealt to parts by a hash of ``spread_on``, or by their number where rows of a key may be equal
+    in all columns (``spread_on`` empty); the one lookup row of that
     key is copied once per part. Other keys join as usual. Pass ``hot`` to reuse a table of hot keys,
     and ``total`` if the number of rows is known: with at most ``hot_rows`` of them no key is hot.
     """
@@ -55,8 +56,9 @@ def split_join(
             .drop(*[f"_hot_{k}" for k in keys])
         )
 
+    spread = F.xxhash64(*spread_on) if spread_on else F.monotonically_increasing_id()
     left = with_parts(rows).withColumn(
-        "_part", F.pmod(F.xxhash64(*spread_on), F.col("_parts").cast("bigint")).cast("int")
+        "_part", F.pmod(spread, F.col("_parts").cast("bigint")).cast("int")
     ).drop("_parts")
     right = with_parts(lookup).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))

@@ -30,14 +30,15 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own: on a cluster a
     machine-local folder would be lost with its executor.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None)
+    configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tracewarden-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    # The setting can't be changed in a running session; the context keeps the folder.
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

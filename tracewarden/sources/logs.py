@@ -12,7 +12,9 @@ from tracewarden.schema import LOG_ENTRY
 
 def log_scan(spark: SparkSession, path) -> DataFrame:
     """``(line, seq)`` for every line, blanks and comments included. Bad UTF-8 bytes are dropped."""
-    text = F.replace(F.make_valid_utf8("value"), F.lit("�"), F.lit(""))
+    dropped = F.replace(F.make_valid_utf8("value"), F.lit("�"), F.lit(""))
+    # A replacement character that a valid line really holds stays.
+    text = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(dropped)
     return spark.read.text(path).select(text.alias("line"), scan_key().alias("seq"))
 
 

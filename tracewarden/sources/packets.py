@@ -21,26 +21,35 @@ def _typed(df: DataFrame, *extra) -> DataFrame:
 
 
 def packets_from_csv(spark: SparkSession, path) -> DataFrame:
-    """Header CSV; columns are found by name, in any order. A bad number raises (ANSI cast)."""
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    """Header CSV; columns are found by name, in any order. A bad number raises (ANSI cast), and so does a file
+    whose header differs from that of the first file of the folder."""
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     return _typed(raw, scan_key().alias("seq"))
 
 
-def packets_from_json(spark: SparkSession, path, lines: bool = False) -> DataFrame:
+def packets_from_json(spark: SparkSession, path, lines: bool | None = None) -> DataFrame:
     """One JSON array of packet objects per file, or one object per line (``lines=True``).
 
-    An array file is read by one task; use lines for large inputs.
+    An array file is read by one task; use lines for large inputs. Unless told, the form is found by a look
+    at how lines begin; a folder with files of both forms raises.
     """
+    if lines is None:
+        begins = spark.read.text(path).select(F.ltrim("value").substr(1, 1).alias("c"), F.input_file_name().alias("file"))
+        forms = begins.groupBy("file").agg(F.max(F.col("c") == "[").alias("array")).agg(
+            F.count_if("array").alias("arrays"), F.count_if(~F.col("array")).alias("others")).first()
+        if forms["arrays"] and forms["others"]:
+            raise ValueError(f"{path} holds both JSON arrays and JSON lines")
+        lines = not forms["arrays"]
     raw = spark.read.schema(PACKET).option("mode", "FAILFAST").option("multiLine", not lines).json(path)
     return _typed(raw, scan_key().alias("seq"))
 
 
-def packet_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Choose the reader by suffix, which is case-sensitive."""
+def packet_scan(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
+    """Choose the reader by suffix, which is case-sensitive. ``lines`` as in :func:`packets_from_json`."""
     if path.endswith(".csv"):
         return packets_from_csv(spark, path)
     if path.endswith(".json"):
-        return packets_from_json(spark, path)
+        return packets_from_json(spark, path, lines)
     raise ValueError(f"Unsupported file type: {path}")
 
 

@@ -20,9 +20,6 @@ from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.operators.classify import is_attack
 from tracewarden.schema import MODEL_COLUMNS
 
-#: State of a key is dropped when the watermark is this far past its last row.
-IDLE_MS = 60 * 60 * 1000
-
 _FEATURES = ("packet_no long, ts double, src_ip string, dst_ip string, dst_port int, protocol string, "
              "packet_size long, time_delta double, packet_count_ip long, unique_ports long")
 _FLOW = "packet_no long, ts double, src_ip string, dst_ip string, flow_bytes long"
@@ -33,16 +30,25 @@ def _with_event_time(packets: DataFrame, cfg: DetectionConfig) -> DataFrame:
     return timed.withWatermark("event_time", cfg.watermark)
 
 
-def _keep(state: GroupState, value: tuple, last_ts: float) -> None:
+def _keep(state: GroupState, value: tuple, last_ts: float, idle_s: float | None) -> None:
+    """Update the state; it goes when the watermark is ``idle_s`` past its last row, or never."""
     state.update(value)
-    state.setTimeoutTimestamp(int(last_ts * 1000) + IDLE_MS)
+    if idle_s is not None:
+        state.setTimeoutTimestamp(int((last_ts + idle_s) * 1000))
+
+
+def _seconds(interval: str) -> float:
+    """Seconds of an interval like ``2 minutes``."""
+    number, unit = interval.split()
+    units = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400}
+    return float(number) * units[unit.removesuffix("s")]
 
 
 def _in_order(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(frames), ignore_index=True).sort_values(["ts", "packet_no"])
 
 
-def _per_ip(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _per_ip(key, frames: Iterator[pd.DataFrame], state: GroupState, idle_s: float | None) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
         state.remove()
         return
@@ -54,18 +60,18 @@ def _per_ip(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
     rows["packet_count_ip"] = count + np.arange(1, len(rows) + 1)
     rows["unique_ports"] = len(ports) + new.cumsum()
     latest = float(rows["ts"].iloc[-1])
-    _keep(state, (count + len(rows), latest, list(ports) + [int(p) for p in rows.loc[new, "dst_port"]]), latest)
+    _keep(state, (count + len(rows), latest, list(ports) + [int(p) for p in rows.loc[new, "dst_port"]]), latest, idle_s)
     yield rows.drop(columns="event_time")
 
 
-def _per_flow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _per_flow(key, frames: Iterator[pd.DataFrame], state: GroupState, idle_s: float | None) -> Iterator[pd.DataFrame]:
     if state.hasTimedOut:
         state.remove()
         return
     total = state.get[0] if state.exists else 0
     rows = _in_order(frames)
     rows["flow_bytes"] = total + rows["size"].cumsum()
-    _keep(state, (int(rows["flow_bytes"].iloc[-1]),), rows["ts"].iloc[-1])
+    _keep(state, (int(rows["flow_bytes"].iloc[-1]),), rows["ts"].iloc[-1], idle_s)
     yield rows[["packet_no", "ts", "src_ip", "dst_ip", "flow_bytes"]]
 
 
@@ -77,8 +83,9 @@ def stream_packet_features(packets: DataFrame, cfg: DetectionConfig = DEFAULTS)
     rows = _with_event_time(packets, cfg).select(
         "packet_no", "ts", "src_ip", "dst_ip", "dst_port", "protocol",
         F.col("size").alias("packet_size"), "event_time")
+    idle_s = cfg.idle_state_s
     return rows.groupBy("src_ip").applyInPandasWithState(
-        _per_ip, _FEATURES, "count long, last_ts double, ports array<int>",
+        lambda key, frames, state: _per_ip(key, frames, state, idle_s), _FEATURES, "count long, last_ts double, ports array<int>",
         "append", GroupStateTimeout.EventTimeTimeout)
 
 
@@ -86,16 +93,19 @@ def stream_flow_bytes(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> Da
     """Running bytes per flow. A stream of its own, keyed by the pair: a host that reaches many others
     is many small states, not a large one."""
     rows = _with_event_time(packets, cfg).select("packet_no", "ts", "src_ip", "dst_ip", "size", "event_time")
+    idle_s = cfg.idle_state_s
     return rows.groupBy("src_ip", "dst_ip").applyInPandasWithState(
-        _per_flow, _FLOW, "total long", "append", GroupStateTimeout.EventTimeTimeout)
+        lambda key, frames, state: _per_flow(key, frames, state, idle_s), _FLOW, "total long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_rate_limit(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """Packets of addresses above the rate in the window that ends at the packet.
 
-    State: the distinct times of the last window with their counts.
+    State: the distinct times of the last window with their counts, and those before it that a row as late as the
+    watermark admits can still need.
     """
-    width, limit = cfg.rate_window_s, cfg.rate_limit
+    width, limit, idle_s = cfg.rate_window_s, cfg.rate_limit, cfg.idle_state_s
+    reach = width + _seconds(cfg.watermark)
 
     def limited(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -109,8 +119,8 @@ def stream_rate_limit(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> Da
         ts = rows["ts"].to_numpy()
         rows["in_window"] = (
             total[np.searchsorted(at, ts, side="right")] - total[np.searchsorted(at, ts - width, side="left")])
-        recent = known[at >= at[-1] - width]
-        _keep(state, ([float(t) for t in recent.index], [int(n) for n in recent]), at[-1])
+        recent = known[at >= at[-1] - reach]
+        _keep(state, ([float(t) for t in recent.index], [int(n) for n in recent]), at[-1], idle_s)
         yield rows.loc[rows["in_window"] > limit, ["packet_no", "ts", "src_ip", "in_window"]]
 
     rows = _with_event_time(packets, cfg).select("packet_no", "ts", "src_ip", "event_time")
@@ -141,8 +151,8 @@ def feature_alerts(features: DataFrame, cfg: DetectionConfig = DEFAULTS) -> Data
     return features.select(F.inline(F.filter(found, lambda a: a.isNotNull())))
 
 
-def stream_alert_dedup(alerts: DataFrame, cfg: DetectionConfig = DEFAULTS, forever: bool = False) -> DataFrame:
-    """One alert per signature: within the watermark (bounded state), or ``forever`` (state grows)."""
+def stream_alert_dedup(alerts: DataFrame, cfg: DetectionConfig = DEFAULTS, forever: bool = True) -> DataFrame:
+    """One alert per signature, ``forever`` (state grows with the signatures) or only within the watermark (bounded state)."""
     signature = ["type", "severity", "detail", "ip"]
     if forever:
         return alerts.dropDuplicates(signature)
