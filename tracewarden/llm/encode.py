@@ -70,9 +70,11 @@ class Encoder:
     def __call__(self, text: bytes | None) -> bytes:
         if not text:
             return b""
-        if any(t in text for t in self.special) or not text.isascii() and self.spaces.search(text):
+        # Where the library would lower A-Z anyway, their forms share a fragment.
+        plain = text.lower() if self.lower else text
+        if any(t in plain for t in self.special) or not text.isascii() and self.spaces.search(text):
             return self._library(text)
-        return b"".join(map(self.memo.__getitem__, self.split(text)))
+        return b"".join(map(self.memo.__getitem__, self.split(plain)))
 
 
 @functools.cache

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 #: Entries that a per-process memo may hold before it starts anew; it only saves time.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 700_000
 #: Base of the rolling hashes modulo 2**64 (odd, hence invertible).
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
