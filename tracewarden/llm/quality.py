@@ -67,9 +67,9 @@ def measures(text: bytes | None) -> tuple[int, ...]:
             len(UPPER.findall(text)), text.count(b"!"))
 
 
-def measured(docs: DataFrame, name: str = "quality") -> DataFrame:
-    """``docs`` with a struct column of ``METRICS``."""
-    columns = [c for c in docs.columns if c != name]
+def measured(docs: DataFrame, name: str = "quality", columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or only its ``columns``) with a struct column of ``METRICS``."""
+    columns = columns or [c for c in docs.columns if c != name]
 
     def make(batch: pa.RecordBatch) -> dict:
         table = np.array([measures(t) for t in texts(batch)], dtype=np.int64).reshape(-1, len(METRICS))
@@ -152,8 +152,9 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: Column | None = None, na
     stratum_name, limits = free_name(docs, "stratum"), free_name(docs, "cutoffs")
     layer = F.coalesce((F.col("lang") if stratum is None else stratum).cast("string"), F.lit(""))
     holdout = labels.filter(F.col("quality").isNotNull()).select("doc_id", (F.col("quality") == 1).cast("int").alias("good"))
-    taught = docs.select("doc_id", "text", layer.alias("stratum")).join(holdout, "doc_id").select("stratum", "good", "text")
-    table = cutoffs(measured(taught).drop("text"))
+    # Measured before the join, so that it moves numbers, not texts.
+    numbers = measured(docs.select("doc_id", "text", layer.alias("stratum")), columns=["doc_id", "stratum"])
+    table = cutoffs(numbers.join(holdout, "doc_id").select("stratum", "good", "quality"))
     # One row per stratum. It is stored, so Spark knows its size before it decides on a broadcast.
     table = written_table(table.filter(F.col("cutoff").isNotNull()).groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(limits)), "quality-cutoffs")
