@@ -18,7 +18,8 @@ HEADLINE = [
     "log_parse", "ip_frequency", "top_ips", "log_summary", "brute_force", "port_scan", "ddos_burst",
     "sql_injection", "detect_all", "static_analysis", "path_prefix_counts", "out_degree", "high_degree_nodes",
     "components_weak", "packet_features", "rate_limit", "packet_alerts", "rule_classifier",
-    "serverlog_features", "flow_volume_features", "byte_histogram",
+    "serverlog_features", "flow_volume_features", "byte_histogram", "flow_features", "alert_origin",
+    "byte_entropy_histogram", "bfs", "classifier_fit", "stream_pipeline",
 ]
 
 

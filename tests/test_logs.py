@@ -195,6 +195,23 @@ def test_empty_input(spark, tmp_path):
     assert result.message.startswith("Failed to parse") and result.threats.count() == 0
 
 
+def test_rules_that_cannot_fit_do_not_run(spark, monkeypatch):
+    e = entries(spark, [failed("1.0.0.1", f"10:00:0{i}") for i in range(6)]
+                + [line("1.0.0.2", "03:00:00", "GET /usr/admin?q=<script>", 200, agent="sqlmap/1")])
+    everything = rules.detect_all(e).collect()
+    assert {r.type for r in everything} == {"BRUTE_FORCE", "XSS", "OFF_HOURS_ADMIN", "SUSPICIOUS_TOOL"}
+    for kind, severity in {(r.type, r.severity) for r in everything}:
+        assert (kind, severity) in {x for raised, _ in rules.RULES for x in raised}
+        one = rules.detect_all(e, kind=kind).collect()
+        assert one == [r for r in everything if r.type == kind]
+        assert rules.detect_all(e, severity=severity).count() == sum(r.severity == severity for r in everything)
+    assert rules.detect_all(e, kind="DDOS").count() == 0 and rules.detect_all(e, severity="LOW").count() == 0
+    ran = []
+    monkeypatch.setattr(rules, "RULES", [(raised, lambda e, cfg, f=f, r=raised: ran.append(r) or f(e, cfg)) for raised, f in rules.RULES])
+    rules.detect_all(e, kind="DDOS_INDICATOR")
+    assert ran == [{("DDOS_INDICATOR", "HIGH")}]
+
+
 def test_analysis_of_a_file(spark, tmp_path):
     path = tmp_path / "access.log"
     path.write_text("\n".join(
@@ -212,6 +229,9 @@ def test_analysis_of_a_file(spark, tmp_path):
     report = [r.text for r in sinks.threat_report(result.threats, result.statistics)
               .orderBy("section", "rule_ord", "seq").collect()]
     assert "Total Threats Detected: 5" in report[0] and report[1].startswith("[HIGH] BRUTE_FORCE from 1.0.0.1")
-    assert report[1].count("Evidence") == 3
+    assert report[1].count("Evidence") == 3 and report[1].endswith("...\n")
+    assert report[6].split("\n")[1] == "STATISTICS:" and report[-1] == "=" * 60
+    without = [r.text for r in sinks.threat_report(result.threats).orderBy("section", "rule_ord", "seq").collect()]
+    assert without == [*report[:6], report[-1]]
     sinks.write_threats(result.threats, str(tmp_path / "out"), "json")
     assert spark.read.json(str(tmp_path / "out")).count() == 5

@@ -11,6 +11,7 @@ from tracewarden.functions import patterns as P
 from tracewarden.functions.text import LOG_LINE, second_of
 from tracewarden.operators import entries as E
 from tracewarden.operators import keyed, rules, running_features, stats
+from tracewarden.operators.analysis import run_static_analysis
 from tracewarden.session import new_folder, written_table
 from tracewarden.sources import logs, sinks
 
@@ -61,9 +62,17 @@ def parsed(spark, sf_dir) -> DataFrame:
     return logs.parse_lines(lines(spark, sf_dir), order="line_no").withColumnRenamed("line_no", "seq")
 
 
-@query("log_scan", "SELECT line_no, line FROM access_log_lines", _LINES)
+@query("log_scan", """
+SELECT CASE WHEN line_no % 7 <> 0 AND line_no % 11 = 0 THEN concat(line, chr(65533)) ELSE line END AS line
+FROM access_log_lines""", _LINES)
 def _(spark, sf_dir):
-    return lines(spark, sf_dir)
+    """The lines as text files, scanned: some end in a replacement character, and some of all lines in a byte that is not UTF-8."""
+    folder = new_folder(spark, "log")
+    real = F.when(F.col("line_no") % 11 == 0, F.unhex(F.lit("EFBFBD"))).otherwise(F.unhex(F.lit("")))
+    bad = F.when(F.col("line_no") % 7 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    raw = F.concat(F.col("line").cast("binary"), real, bad)
+    lines(spark, sf_dir).select(raw.cast("string").alias("line")).write.text(folder)
+    return logs.log_scan(spark, folder).select("line")
 
 
 @query("log_parse", _PARSED + """
@@ -409,20 +418,42 @@ def _(spark, sf_dir):
 
 @query("threats_by_severity", _THREATS + f"\nSELECT {_OUT} FROM threats WHERE severity = 'HIGH'", _ENTRIES)
 def _(spark, sf_dir):
-    return _out(rules.threats_by_severity(rules.detect_all(entries(spark, sf_dir)), "HIGH"))
+    return _out(rules.detect_all(entries(spark, sf_dir), severity="HIGH"))
 
 
 @query("threats_by_type", _THREATS + f"\nSELECT {_OUT} FROM threats WHERE type = 'DDOS'", _ENTRIES)
 def _(spark, sf_dir):
-    return _out(rules.threats_by_type(rules.detect_all(entries(spark, sf_dir)), "DDOS"))
+    return _out(rules.detect_all(entries(spark, sf_dir), kind="DDOS"))
 
 
-@query("threat_summary", _THREATS + """
+_SUMMARY = """
 SELECT 'total_threats' AS metric, count(*) AS value FROM threats
 UNION ALL SELECT 'unique_attackers', count(DISTINCT source_ip) FROM threats
 UNION ALL SELECT lower(s) || '_count', (SELECT count(*) FROM threats WHERE severity = s)
   FROM (VALUES ('CRITICAL'), ('HIGH'), ('MEDIUM'), ('LOW')) v(s)
-UNION ALL SELECT 'type_' || type, count(*) FROM threats GROUP BY type""", _ENTRIES)
+UNION ALL SELECT 'type_' || type, count(*) FROM threats GROUP BY type"""
+
+
+@query("log_file_analysis", _PARSED + _PARSED_THREATS + f"""
+, summary AS ({_SUMMARY})
+, statistics AS ({_summary_sql("trim(endpoint, '/')", _GRAPH, 5).replace("FROM entries", "FROM parsed")})
+SELECT metric, key, value FROM statistics
+UNION ALL SELECT metric, '', value FROM summary
+UNION ALL SELECT 'total_lines', '', count(*) FROM access_log_lines
+UNION ALL SELECT 'parsed_entries', '', count(*) FROM parsed
+UNION ALL SELECT 'parse_errors', '', (SELECT count(*) FROM access_log_lines WHERE trim(line) <> '' AND NOT starts_with(trim(line), '#'))
+  - (SELECT count(*) FROM parsed)""", _LINES)
+def _(spark, sf_dir):
+    """Statistics and summary of the whole analysis of text files."""
+    folder = new_folder(spark, "log")
+    ordered = lines(spark, sf_dir).repartitionByRange("line_no").sortWithinPartitions("line_no")
+    ordered.select("line").write.text(folder)
+    result = run_static_analysis(spark, folder)
+    summary = result.summary.select("metric", F.lit("").alias("key"), F.col("value").cast("double").alias("value"))
+    return result.statistics.unionByName(summary)
+
+
+@query("threat_summary", _THREATS + _SUMMARY, _ENTRIES)
 def _(spark, sf_dir):
     return stats.threat_summary(rules.detect_all(entries(spark, sf_dir)))
 
@@ -433,11 +464,22 @@ def _(spark, sf_dir):
 
 
 @query("threat_report", _THREATS + """
-SELECT rule_ord, concat('[', severity, '] ', type, ' from ', source_ip, ': ', description,
-  array_to_string(list_transform(string_split(evidence, ' | ')[1:3], lambda x: concat(chr(10), '    Evidence: ', left(x, 80), '...')), '')) AS text
-FROM threats""", _ENTRIES)
-def _(spark, sf_dir):
-    return sinks.threat_blocks(rules.detect_all(entries(spark, sf_dir))).select("rule_ord", "text")
+SELECT 0 AS section, 0 AS rule_ord, concat_ws(chr(10), repeat('=', 60), 'STATIC ANALYSIS DETECTION REPORT', repeat('=', 60),
+  concat('Total Threats Detected: ', count(*)), concat('Unique Attackers: ', count(DISTINCT source_ip)), '', 'Threats by Severity:',
+  concat('  CRITICAL: ', count(*) FILTER (severity = 'CRITICAL')), concat('  HIGH: ', count(*) FILTER (severity = 'HIGH')),
+  concat('  MEDIUM: ', count(*) FILTER (severity = 'MEDIUM')), concat('  LOW: ', count(*) FILTER (severity = 'LOW')),
+  '', repeat('-', 60), 'DETAILED THREATS:', repeat('-', 60)) AS text FROM threats
+UNION ALL SELECT 1, rule_ord, concat('[', severity, '] ', type, ' from ', source_ip, ': ', description,
+  array_to_string(list_transform(string_split(evidence, ' | ')[1:3], lambda x: concat(chr(10), '    Evidence: ', left(x, 80), '...')), ''), chr(10))
+FROM threats
+UNION ALL SELECT 2, 0, concat_ws(chr(10), repeat('-', 60), 'STATISTICS:', repeat('-', 60)) WHERE EXISTS (FROM entries)
+UNION ALL SELECT 3, 0, concat('  status ', status, ': ', count(*)) FROM entries GROUP BY status
+UNION ALL SELECT 4, 0, repeat('=', 60)""", _ENTRIES)
+def _(spark, sf_dir):
+    """The whole report, with the numbers by status as its statistics."""
+    e = entries(spark, sf_dir)
+    statuses = keyed.increment(e, "status").select(F.lit("status").alias("metric"), F.col("key").cast("string").alias("key"), "value")
+    return sinks.threat_report(written_table(rules.detect_all(e), "threats"), statuses).select("section", "rule_ord", "text")
 
 
 @query("threat_sink", _THREATS + f"\nSELECT {_OUT} FROM threats", _ENTRIES)

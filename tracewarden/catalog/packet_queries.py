@@ -69,9 +69,14 @@ _running("packet_rate", "packet_rate", R.packet_rate)
 _running("packet_features",
          "packet_size, protocol, src_ip, dst_ip, time_delta, packet_count_ip, flow_bytes, unique_ports, dst_port, packet_rate",
          R.packet_features)
-_running("model_input",
-         "packet_size, packet_count_ip, flow_bytes, unique_ports, time_delta",
-         lambda p: R.packet_features(p))
+
+
+@query("model_input", FEATURES + """
+SELECT packet_no, CAST(packet_size AS DOUBLE) AS packet_size, CAST(packet_count_ip AS DOUBLE) AS packet_count_ip,
+  CAST(flow_bytes AS DOUBLE) AS flow_bytes, CAST(unique_ports AS DOUBLE) AS unique_ports, CAST(time_delta AS DOUBLE) AS time_delta
+FROM feats""", _PACKETS)
+def _(spark, sf_dir):
+    return C.model_input(R.packet_features(packets(spark, sf_dir)))
 
 
 @query("packets_per_second", """

@@ -249,23 +249,32 @@ def attack_tools(entries: DataFrame) -> DataFrame:
 # -- all rules --------------------------------------------------------------------------------
 
 
-def detect_all(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
-    """Threats of all rules; order them by ``rule_ord, seq``.
-
-    Each rule scans the entries, and finding the groups runs jobs at once: pass a stored table.
+#: The rules in their order: what each can raise (type and severity), and how.
+RULES = [
+    ({("BRUTE_FORCE", "HIGH")}, brute_force),
+    ({("SQL_INJECTION", "CRITICAL"), ("XSS", "HIGH"), ("PATH_TRAVERSAL", "HIGH"), ("OFF_HOURS_ADMIN", "MEDIUM")}, entry_threats),
+    ({("PORT_SCAN", "MEDIUM")}, lambda entries, cfg: port_scan(entries, cfg).drop("degree")),
+    ({("DDOS", "CRITICAL")}, burst),
+    ({("DDOS_INDICATOR", "HIGH")}, overload),
+    ({("SUSPICIOUS_TOOL", "MEDIUM")}, lambda entries, cfg: attack_tools(entries)),
+]
+
+
+def detect_all(entries: DataFrame, cfg: DetectionConfig = DEFAULTS, kind: str | None = None, severity: str | None = None) -> DataFrame:
+    """Threats of all rules, or of one type or severity; order them by ``rule_ord, seq``.
+
+    Each rule scans the entries, and finding the groups runs jobs at once: pass a stored table. Rules that can't raise what is asked
+    for are not run.
     """
-    parts = [
-        brute_force(entries, cfg),
-        entry_threats(entries, cfg),
-        port_scan(entries, cfg).drop("degree"),
-        burst(entries, cfg),
-        overload(entries, cfg),
-        attack_tools(entries),
-    ]
-    result = parts[0]
+    fits = lambda raised: any(kind in (None, k) and severity in (None, s) for k, s in raised)
+    parts = [rule(entries, cfg) for raised, rule in RULES if fits(raised)]
+    # A type or severity that no rule raises: any rule's rows, of which none fits.
+    result = parts[0] if parts else entry_threats(entries, cfg)
     for part in parts[1:]:
         result = result.unionByName(part)
-    return result
+    if kind is not None:
+        result = threats_by_type(result, kind)
+    return result if severity is None else threats_by_severity(result, severity)
 
 
 def threats_by_severity(threats: DataFrame, severity: str) -> DataFrame:

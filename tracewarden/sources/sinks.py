@@ -35,7 +35,11 @@ def threat_blocks(threats: DataFrame) -> DataFrame:
 
 
 def threat_report(threats: DataFrame, statistics: DataFrame | None = None) -> DataFrame:
-    """Text of the report in sections; write it with ``orderBy('section', 'rule_ord', 'seq')``."""
+    """Text of the report in sections; write it with ``orderBy('section', 'rule_ord', 'seq', 'text')``.
+
+    Sections: 0 head, 1 threats (each with an empty line after it), 2 and 3 statistics and their head, where there are any,
+    4 the closing rule.
+    """
     null_seq = F.lit(None).cast(threats.schema["seq"].dataType)
     s = threat_summary(threats).groupBy().pivot("metric", [
         "total_threats", "unique_attackers", "critical_count", "high_count", "medium_count", "low_count",
@@ -55,12 +59,13 @@ def threat_report(threats: DataFrame, statistics: DataFrame | None = None) -> Da
         F.lit(0).alias("section"), F.lit(0).alias("rule_ord"), null_seq.alias("seq"),
         F.array_join(F.array(*lines), "\n").alias("text"),
     )
-    body = threat_blocks(threats).select(F.lit(1).alias("section"), "rule_ord", "seq", "text")
+    body = threat_blocks(threats).select(
+        F.lit(1).alias("section"), "rule_ord", "seq", F.concat("text", F.lit("\n")).alias("text"))
     report = header.unionByName(body)
+    part = lambda rows, section, text: rows.select(
+        F.lit(section).alias("section"), F.lit(0).alias("rule_ord"), null_seq.alias("seq"), text.alias("text"))
     if statistics is not None:
-        report = report.unionByName(statistics.select(
-            F.lit(2).alias("section"), F.lit(0).alias("rule_ord"), null_seq.alias("seq"),
-            F.concat(F.lit("  "), F.concat_ws(" ", "metric", "key"), F.lit(": "),
-                     F.col("value").cast("string")).alias("text"),
-        ))
-    return report
+        report = report.unionByName(part(statistics.limit(1), 2, F.lit(f"{THIN}\nSTATISTICS:\n{THIN}")))
+        report = report.unionByName(part(statistics, 3, F.concat(
+            F.lit("  "), F.concat_ws(" ", "metric", "key"), F.lit(": "), F.col("value").cast("string"))))
+    return report.unionByName(part(threats.sparkSession.range(1), 4, F.lit(RULE)))
