@@ -167,7 +167,12 @@ def links(points: DataFrame, partitions: int | None = None) -> DataFrame:
 
 def components(points: DataFrame) -> DataFrame:
     """``fp, component`` for the fingerprints that have a link; the others are their own component."""
-    pairs = written_table(links(points), "simhash-links")
+    return components_of(links(points))
+
+
+def components_of(edges: DataFrame) -> DataFrame:
+    """``fp, component`` for the nodes of ``edges(src, dst)``."""
+    pairs = written_table(edges, "simhash-links")
     if pairs.isEmpty():
         return pairs.select(F.col("src").alias("fp"), F.col("dst").alias("component"))
     unit = F.lit(1).cast("bigint")
