@@ -1,9 +1,12 @@
 """Streams over several micro-batches, and over a restart, equal their batch twins."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from tracewarden import session
+from tracewarden.config import DEFAULTS
 from tracewarden.operators import running_features as R
 from tracewarden.sources.packets import packet_stream
 from tracewarden.streaming import jobs as J
@@ -85,6 +88,25 @@ def test_new_alerts_and_reset(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out2")).count() == 6
 
 
+def test_rows_of_any_lateness_count(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    row = lambda n, ts: (n, "a", "b", 20 + n, "TCP", 40, float(ts))
+    # The third batch is an hour older than the first two (Spark drops by the watermark of the batch before), the fourth goes on.
+    for n, rows in enumerate(([row(0, 9000)], [row(1, 9001)], [row(2, 5400), row(3, 5401)], [row(4, 9002)])):
+        write(spark, folder, rows, f"b{n}")
+    features, flows, some = (str(tmp_path / x) for x in ("features", "flows", "some"))
+    drain(J.stream_packet_features(source(spark, folder)), features, str(tmp_path / "s0"))
+    drain(J.stream_flow_bytes(source(spark, folder)), flows, str(tmp_path / "s1"))
+    got = spark.read.parquet(features).orderBy("packet_no").collect()
+    assert [(r.packet_no, r.packet_count_ip, r.unique_ports) for r in got] == [(n, n + 1, n + 1) for n in range(5)]
+    got = spark.read.parquet(flows).orderBy("packet_no").collect()
+    assert [(r.packet_no, r.flow_bytes) for r in got] == [(n, 40 * (n + 1)) for n in range(5)]
+    # State that ends needs the watermark; what is behind it goes to a table of its own.
+    drain(J.stream_flow_bytes(source(spark, folder), replace(DEFAULTS, idle_state_s=86400.0)), some, str(tmp_path / "s2"))
+    late = J.late_packets(spark.read.schema(SCHEMA).parquet(f"{folder}/*"), spark.read.parquet(some)).orderBy("packet_no").collect()
+    assert [(r.packet_no, r.late_rows) for r in late] == [(2, 2), (3, 2)]
+
+
 def test_packet_stream_reads_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("src_ip,dst_ip,dst_port,protocol,size,timestamp\na,b,22,TCP,40,1.5\n")

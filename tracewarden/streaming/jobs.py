@@ -3,7 +3,8 @@
 State per address is kept only for what a running value needs. A group never holds more rows than
 its share of one micro-batch, whose size the source options bound. Windowed jobs run in append mode: a
 window appears once, when the watermark has passed its end. Rows later than the watermark are
-dropped by Spark and show in the query progress.
+dropped by Spark and show in the query progress. Features and flow bytes have a watermark only where
+``idle_state_s`` is set, and otherwise count every row, however late.
 """
 
 from __future__ import annotations
@@ -30,6 +31,20 @@ def _with_event_time(packets: DataFrame, cfg: DetectionConfig) -> DataFrame:
     return timed.withWatermark("event_time", cfg.watermark)
 
 
+def _running(packets: DataFrame, cfg: DetectionConfig) -> tuple[DataFrame, str]:
+    """Packets with ``event_time`` and the timeout of their state: without ``idle_state_s`` nothing ends, so nothing is too late."""
+    if cfg.idle_state_s is None:
+        return packets.withColumn("event_time", F.timestamp_seconds("ts")), GroupStateTimeout.NoTimeout
+    return _with_event_time(packets, cfg), GroupStateTimeout.EventTimeTimeout
+
+
+def late_packets(packets: DataFrame, written: DataFrame) -> DataFrame:
+    """The rows of a table of ``packets`` that have no row in what a stream of running values has ``written``, with their
+    ``late_rows`` number: those behind the watermark, once the stream has read all of the table."""
+    late = packets.join(written.select("packet_no"), "packet_no", "left_anti")
+    return late.crossJoin(F.broadcast(late.agg(F.count(F.lit(1)).alias("late_rows"))))
+
+
 def _keep(state: GroupState, value: tuple, last_ts: float, idle_s: float | None) -> None:
     """Update the state; it goes when the watermark is ``idle_s`` past its last row, or never."""
     state.update(value)
@@ -80,22 +95,24 @@ def stream_packet_features(packets: DataFrame, cfg: DetectionConfig = DEFAULTS)
 
     The delta is per address: a global one would need a single task.
     """
-    rows = _with_event_time(packets, cfg).select(
+    timed, timeout = _running(packets, cfg)
+    rows = timed.select(
         "packet_no", "ts", "src_ip", "dst_ip", "dst_port", "protocol",
         F.col("size").alias("packet_size"), "event_time")
     idle_s = cfg.idle_state_s
     return rows.groupBy("src_ip").applyInPandasWithState(
         lambda key, frames, state: _per_ip(key, frames, state, idle_s), _FEATURES, "count long, last_ts double, ports array<int>",
-        "append", GroupStateTimeout.EventTimeTimeout)
+        "append", timeout)
 
 
 def stream_flow_bytes(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """Running bytes per flow. A stream of its own, keyed by the pair: a host that reaches many others
     is many small states, not a large one."""
-    rows = _with_event_time(packets, cfg).select("packet_no", "ts", "src_ip", "dst_ip", "size", "event_time")
+    timed, timeout = _running(packets, cfg)
+    rows = timed.select("packet_no", "ts", "src_ip", "dst_ip", "size", "event_time")
     idle_s = cfg.idle_state_s
     return rows.groupBy("src_ip", "dst_ip").applyInPandasWithState(
-        lambda key, frames, state: _per_flow(key, frames, state, idle_s), _FLOW, "total long", "append", GroupStateTimeout.EventTimeTimeout)
+        lambda key, frames, state: _per_flow(key, frames, state, idle_s), _FLOW, "total long", "append", timeout)
 
 
 def stream_rate_limit(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
