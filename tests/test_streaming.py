@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tracewarden import session
 from tracewarden.config import DEFAULTS
+from tracewarden.operators import alerts as A
 from tracewarden.operators import running_features as R
 from tracewarden.sources.packets import packet_stream
 from tracewarden.streaming import jobs as J
-from tracewarden.streaming.runtime import drain, table_stream
+from tracewarden.streaming.runtime import drain, drained, gathered, table_stream
 
 SCHEMA = "packet_no long, src_ip string, dst_ip string, dst_port int, protocol string, size long, ts double"
 
@@ -107,6 +108,20 @@ def test_rows_of_any_lateness_count(spark, tmp_path):
     assert [(r.packet_no, r.late_rows) for r in late] == [(2, 2), (3, 2)]
 
 
+def test_all_six_rules_over_batches(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    # The queue is at 290 after the first batch and fills up in the second, which holds more than a queue itself.
+    rows = [(i, f"h{i % 5}", "d", 100 + i % 37, "TCP", 1480 + i % 25, 1000.0 + i / 4) for i in range(1200)]
+    for n, (a, b) in enumerate(((0, 290), (290, 1100), (1100, 1200))):
+        write(spark, folder, rows[a:b], f"b{n}")
+    raised = drained(gathered(J.all_alert_streams(source(spark, folder)), J.stream_alert_dedup, "raised"), "six")
+    got = sorted(tuple(r) for r in raised.select(*A.SIGNATURE).collect())
+    want = sorted(tuple(r) for r in A.packet_alerts(spark.createDataFrame(rows, SCHEMA)).select(*A.SIGNATURE).collect())
+    assert got == want
+    kinds = {(r[0], r[2].split(":")[0]) for r in got}
+    assert kinds >= {("PORT_SCAN", "Unusual port access"), ("DOS_ATTACK", "High request rate detected"), ("DOS_ATTACK", "High packet rate")}
+
+
 def test_packet_stream_reads_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("src_ip,dst_ip,dst_port,protocol,size,timestamp\na,b,22,TCP,40,1.5\n")

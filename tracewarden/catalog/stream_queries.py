@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewarden.catalog.packet_queries import FEATURES, _ATTACK
+from tracewarden.catalog.packet_queries import ALERTS, FEATURES, _ATTACK
 from tracewarden.catalog.registry import query
 from tracewarden.catalog.views import table, view
 from tracewarden.sources import packets as S
 from tracewarden.streaming import jobs as J
-from tracewarden.streaming.runtime import chained, drained
+from tracewarden.streaming.runtime import chained, drained, gathered
 
 _PACKETS = ["packets"]
 _ENTRIES = ["entries"]
@@ -77,6 +77,13 @@ def _(spark, sf_dir):
     return drained(chained(raised, J.stream_alert_dedup, "raised"), "alerts").select(*_SIGNATURE)
 
 
+@query("stream_all_rules", ALERTS + "\nSELECT type, severity, detail, ip FROM alerts", _PACKETS)
+def _(spark, sf_dir):
+    """As ``stream_pipeline``, whose SQL has three rules, with all six."""
+    raised = J.all_alert_streams(stream(spark, sf_dir, "packets"))
+    return drained(gathered(raised, J.stream_alert_dedup, "raised-all"), "all-alerts").select(*_SIGNATURE)
+
+
 @query("stream_alert_dedup", """
 SELECT DISTINCT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size) AS detail, src_ip AS ip
 FROM packets WHERE size > 1500""", _PACKETS)

@@ -146,6 +146,59 @@ def stream_rate_limit(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> Da
         "times array<double>, counts array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def stream_port_hits(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+    """Packets to a port beyond its ``port_hits`` first ones. State: a count per port."""
+    limit = cfg.port_hits
+
+    def hits(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        count = state.get[0] if state.exists else 0
+        rows = _in_order(frames)
+        rows["port_hits"] = count + np.arange(1, len(rows) + 1)
+        state.update((count + len(rows),))
+        yield rows[rows["port_hits"] > limit]
+
+    rows = packets.select("packet_no", "ts", "src_ip", "dst_port")
+    return rows.groupBy("dst_port").applyInPandasWithState(
+        hits, "packet_no long, ts double, src_ip string, dst_port int, port_hits long", "count long", "append",
+        GroupStateTimeout.NoTimeout)
+
+
+def stream_packet_volume(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+    """``ts, src_ip, queue_length``: the queue's lengths from ``volume_limit`` on, each with the address that it was reached with;
+    the full queue once per address and batch.
+
+    The queue fills up once for all addresses. Of a partition only its first ``volume_window`` rows can meet a queue that is
+    not full, so only those go to the one group that counts; the others go by address. State: one count.
+    """
+    full, limit = cfg.volume_window, cfg.volume_limit
+    order = ["ts", "packet_no"]
+
+    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = None
+        for frame in frames:
+            first = (frame if first is None else pd.concat([first, frame], ignore_index=True)).sort_values(order)
+            later, first = first.iloc[full:].drop_duplicates("src_ip"), first.iloc[:full]
+            yield later.assign(full=True, who=later["src_ip"])
+        if first is not None:
+            yield first.assign(full=False, who=None)
+
+    def volume(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = _in_order(frames)
+        if key[0]:
+            rows["queue_length"] = full
+        else:
+            count = state.get[0] if state.exists else 0
+            rows["queue_length"] = np.minimum(count + np.arange(1, len(rows) + 1), full)
+            state.update((min(count + len(rows), full),))
+        rows = rows[rows["queue_length"] >= limit].drop_duplicates(["src_ip", "queue_length"])
+        yield rows[["ts", "src_ip", "queue_length"]]
+
+    rows = packets.select("packet_no", "ts", "src_ip").mapInPandas(
+        split, "packet_no long, ts double, src_ip string, full boolean, who string")
+    return rows.groupBy("full", "who").applyInPandasWithState(
+        volume, "ts double, src_ip string, queue_length long", "count long", "append", GroupStateTimeout.NoTimeout)
+
+
 def feature_alerts(features: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """Alerts of the rules whose inputs the streamed features hold; needs no state.
 
@@ -182,6 +235,23 @@ def stream_alerts(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFr
     return feature_alerts(stream_packet_features(packets, cfg), cfg)
 
 
+def all_alert_streams(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> list[DataFrame]:
+    """Packets to raised alerts of all six rules, as streams of the same columns with a state of their own each. The files
+    they write are read together by :func:`stream_alert_dedup`."""
+    def alerts(rows: DataFrame, kind: str, severity: str, detail) -> DataFrame:
+        return rows.select(
+            F.lit(kind).alias("type"), F.lit(severity).alias("severity"), detail.alias("detail"),
+            F.col("src_ip").alias("ip"), F.timestamp_seconds("ts").alias("event_time"))
+
+    text = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
+    return [
+        stream_alerts(packets, cfg),
+        alerts(stream_port_hits(packets, cfg), "PORT_SCAN", "high", text("Unusual port access: ", "dst_port")),
+        alerts(stream_rate_limit(packets, cfg), "DOS_ATTACK", "critical", F.lit("High request rate detected")),
+        alerts(stream_packet_volume(packets, cfg), "DOS_ATTACK", "critical", text("High packet rate: ", "queue_length")),
+    ]
+
+
 def _timed(entries: DataFrame, cfg: DetectionConfig) -> DataFrame:
     known = entries.filter(F.col("dt").isNotNull())
     return known.withColumn("event_time", F.col("dt").cast("timestamp")).withWatermark("event_time", cfg.watermark)

@@ -54,3 +54,11 @@ def chained(first: DataFrame, then, label: str) -> DataFrame:
     folder = new_folder(spark, label)
     drain(first, folder, new_folder(spark, f"{label}-checkpoint"))
     return then(table_stream(spark, folder, first.schema))
+
+
+def gathered(streams: list[DataFrame], then, label: str) -> DataFrame:
+    """Drain each of ``streams`` into files of its own and stream all of them together through ``then``."""
+    first, *others = [chained(s, lambda rows: rows, label) for s in streams]
+    for other in others:
+        first = first.unionByName(other)
+    return then(first)
