@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm import bpe, chat, language, packing, quality, repeats, search, simhash, warc, wavelet
+from tracewarden.llm import bpe, chat, counts, language, packing, quality, repeats, search, simhash, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,10 @@ def op4_warc_fixity(spark, sf_dir):
 @query
 def op1_bm25_top_k(spark, sf_dir):
     return search.top_k(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
+@query
+def op13_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = counts.counted(docs, public_tokenizers.path("piece_bpe_32k.model"), columns=["doc_id"])
+    return found.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
