@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm import bpe, chat, counts, language, packing, quality, repeats, search, simhash, warc, wavelet
+from tracewarden.llm import bpe, chat, counts, language, packing, phrases, quality, repeats, search, simhash, spelling, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,19 @@ def query(fn):
     return fn
 
 
+def oracle(sql: str):
+    """Also register the SQL of the query's rows."""
+    def register(fn):
+        ORACLES[fn.__name__] = sql.strip()
+        return query(fn)
+
+    return register
+
+
+#: The letters that SQL's translate() lowers.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -102,3 +115,59 @@ def op13_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = counts.counted(docs, public_tokenizers.path("piece_bpe_32k.model"), columns=["doc_id"])
     return found.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
+
+
+@oracle(rf"""
+WITH plain AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM plain),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM worded GROUP BY lang),
+placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded),
+sized AS (SELECT lang, words, i, unnest(range(1, least(5, len(words) - i + 1) + 1)) AS m FROM placed),
+counted AS (SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, m, CAST(count(*) AS HUGEINT) AS f FROM sized
+  GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS words FROM counted WHERE m > 1),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM candidates),
+parts AS (SELECT c.lang, c.phrase, c.a, c.k, t.n, x.f AS l, y.f AS r, 1000 * c.a * t.n // (x.f * y.f) AS score FROM cuts c
+  JOIN totals t ON t.lang = c.lang
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:c.k], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.k + 1:], ' ')),
+lowest AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, a, words, m, unnest(range(2, m)) AS s FROM candidates),
+inside AS (SELECT lang, a, words, s, unnest(range(1, m - s + 2)) AS i FROM longer),
+covered AS (SELECT lang, array_to_string(words[i:i + s - 1], ' ') AS phrase, max(a) AS most FROM inside GROUP BY ALL),
+ranked AS (SELECT o.*, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, encode(o.phrase)) AS rank
+  FROM lowest o LEFT JOIN covered c ON c.lang = o.lang AND c.phrase = o.phrase WHERE c.most IS NULL OR 100 * c.most < 100 * o.a)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000""")
+def op12_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, keep=2000, share=100)
+
+
+@oracle(rf"""
+WITH RECURSIVE
+crc AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, repeat([0::BIGINT], 8)),
+  lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS t),
+runs AS (SELECT CAST(doc_id AS VARCHAR) AS doc, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+lowered AS (SELECT coalesce(doc, '') AS doc, translate(run, '{_UPPER}', '{_LOWER}') AS run, count(*) AS times FROM runs
+  WHERE length(run) >= 7 GROUP BY ALL),
+spelled AS (SELECT run, times, hex(encode(concat(doc, ':', run))) AS digits FROM lowered),
+hashed AS (SELECT run, times, xor(4294967295, list_reduce(
+  list_prepend(4294967295, list_transform(range(0, length(digits) // 2), lambda i: CAST(concat('0x', digits[2 * i + 1:2 * i + 2]) AS BIGINT))),
+  lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS h FROM spelled, crc),
+made AS (SELECT CASE WHEN h % 31 = 0 THEN concat(run[1:h % length(run)], run[h % length(run) + 2:]) ELSE run END AS word, times FROM hashed),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+gaps AS (SELECT word, n, i, concat(word[1:i - 1], word[i + 1:]) AS rest FROM places),
+pairs AS (SELECT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.rest
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.rest),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, encode(other))) AS other, max(n) AS most FROM pairs GROUP BY word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * w.n THEN other END AS form,
+  CASE WHEN most >= 10 * w.n THEN most END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word),
+chain AS (SELECT word, word AS root, form AS onward FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.onward)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.onward IS NULL""")
+def op11_spelling_variants(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return spelling.variants(spelling.document_words(docs, shortest=7, every=31), fewest=2, ratio=10)
