@@ -1,13 +1,13 @@
 """Phrase collocations, counted by a multikey three-way quicksort of suffix pointers.
 
 A suffix is what follows a word of a piece, at most as many words as a phrase may have. The leading words are counted globally: first
-words, then pairs of frequent words. Suffixes that don't begin with a frequent pair are abandoned there, and a suffix ends where a link
-of it is no frequent pair, since a phrase is never more frequent than its parts. The others are routed by their leading pair, or
-by one more word for as long as that prefix is hot, so a group of any size is split. Inside a task, pointers to the suffixes of complete
-groups are parted by their word at one depth into smaller, equal and larger; the weight of the equal part is the count of its phrase,
-and parts below the least count are abandoned with all that is in them.
+words, then pairs of frequent words, then, by a table of counters, three words of two frequent pairs. Suffixes that don't begin with
+three such words are abandoned there, and a suffix ends where the next three words are infrequent, since a phrase is never more frequent than
+its parts. The others are routed by their leading pair, or by one more word for as long as that prefix is hot, so a group of any size
+is split. Inside a task, pointers to the suffixes of complete groups are parted by their word at one depth into smaller, equal and
+larger; the weight of the equal part is the count of its phrase, and parts below the least count are abandoned with all that is in them.
 
-What tasks know of frequent words and pairs is one bit of a table of fixed size each: a word or pair let through by mistake costs
+What tasks know of frequent words, pairs and triples is one bit of a table of fixed size each: what is let through by mistake costs
 time and is counted exactly later.
 """
 
@@ -30,9 +30,11 @@ from tracewarden.session import written_table
 
 #: Ids that a task gathers before it counts them, and bytes of words that it knows by number.
 BUFFER = 4 << 20
-VOCABULARY_BYTES = 64 << 20
+VOCABULARY_BYTES = 48 << 20
 #: Bits of the tables of frequent words and pairs: 2 MB each, whatever the data.
 BITS = 24
+#: Counters for triples, as a power of two, and the counters in a row; a task sends a byte for each, or four for large least counts.
+SKETCH, SKETCH_ROW = 22, 1 << 12
 #: Rows that a task gathers from complete groups before it sorts them.
 GROUP_ROWS = 1 << 19
 #: A prefix that leads more suffixes than this is routed by one more word.
@@ -94,16 +96,16 @@ def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * _A + b) * _B
 
 
-def _has(bits: bytes, hashes: np.ndarray) -> np.ndarray:
-    at = hashes >> np.uint64(64 - BITS)
+def _has(bits: bytes, hashes: np.ndarray, size: int = BITS) -> np.ndarray:
+    at = hashes >> np.uint64(64 - size)
     return np.frombuffer(bits, np.uint8)[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
-def _scanned(docs: DataFrame, bits: bytes | None, schema: str,
-             emit: Callable[[Vocabulary, np.ndarray], pa.RecordBatch]) -> DataFrame:
-    """What ``emit`` makes of the word numbers of pieces, each piece followed by a 0."""
+def _scanned(docs: DataFrame, bits: bytes | None, schema: str, start: Callable) -> DataFrame:
+    """What is made of the word numbers of pieces, each piece followed by a 0: ``start()`` gives a task its two functions, one from a
+    vocabulary and word numbers to rows or None, and one for the rows at the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, ids = Vocabulary(bits), array("I", [0])
+        vocabulary, ids, (emit, finish) = Vocabulary(bits), array("I", [0]), start()
         for batch in batches:
             for text, lang in zip(texts(batch), batch.column(1).to_pylist()):
                 if not text:
@@ -119,12 +121,17 @@ def _scanned(docs: DataFrame, bits: bytes | None, schema: str,
                     if full:
                         vocabulary = Vocabulary(bits)
         yield from _sliced(emit(vocabulary, np.frombuffer(ids, np.uint32)))
+        yield from _sliced(finish())
 
     return docs.mapInArrow(run, schema)
 
 
-def _sliced(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
+def _nothing() -> None:
+    return None
+
+
+def _sliced(batch: pa.RecordBatch | None, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows if batch else 0, rows):
         yield batch.slice(at, rows)
 
 
@@ -151,26 +158,70 @@ def _pairs(vocabulary: Vocabulary, ids: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([langs, phrases, pa.array(n)], ["lang", "phrase", "f"])
 
 
-def _suffixes(pair_bits: bytes, depth: int) -> Callable[[Vocabulary, np.ndarray], pa.RecordBatch]:
-    """Distinct suffixes of at least three words, linked by frequent pairs, with their number."""
+def _linked(vocabulary: Vocabulary, ids: np.ndarray, pair_bits: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where three words begin that are linked by frequent pairs, and the hashes of the three."""
+    hashes = np.frombuffer(vocabulary.hashes, np.uint64)
+    left, right = ids[:-1], ids[1:]
+    link = np.zeros(len(ids), dtype=bool)
+    both = np.flatnonzero((left > 0) & (right > 0))
+    link[both] = _has(pair_bits, _pair_hash(hashes[left[both]], hashes[right[both]]))
+    starts = np.flatnonzero(link[:-1] & link[1:])
+    return starts, _pair_hash(_pair_hash(hashes[ids[starts]], hashes[ids[starts + 1]]), hashes[ids[starts + 2]])
+
+
+def _triple_bits(docs: DataFrame, word_bits: bytes, pair_bits: bytes, least: int) -> bytes:
+    """A bit for each counter of triples that reaches ``least``. A counter that tasks share is the sum of theirs, which stop at ``least``."""
+    kind = np.uint8 if least < 256 else np.uint32
+
+    def start():
+        counters = np.zeros(1 << SKETCH, dtype=np.int64)
+
+        def emit(vocabulary: Vocabulary, ids: np.ndarray) -> None:
+            _, hashes = _linked(vocabulary, ids, pair_bits)
+            np.add(counters, np.bincount((hashes >> np.uint64(64 - SKETCH)).astype(np.int64), minlength=len(counters)), out=counters)
+
+        def finish() -> pa.RecordBatch:
+            rows = np.minimum(counters, least).astype(kind).reshape(-1, SKETCH_ROW)
+            some = np.flatnonzero(rows.any(axis=1))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(some), pa.array([rows[i].tobytes() for i in some.tolist()], pa.binary())], ["row", "counters"])
+
+        return emit, finish
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row, counters in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = np.frombuffer(counters.as_py(), kind)
+                sums[row] = np.minimum(sums.get(row, 0) + found.astype(np.int64), least)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()),
+             pa.array([np.packbits(c >= least, bitorder="little").tobytes() for c in sums.values()], pa.binary())], ["row", "bits"])
+
+    rows = _scanned(docs, word_bits, "row bigint, counters binary", start)
+    table = bytearray((1 << SKETCH) // 8)
+    # A bit for each counter reaches the driver.
+    for row in rows.repartition("row").mapInArrow(total, "row bigint, bits binary").collect():
+        table[row["row"] * SKETCH_ROW // 8:(row["row"] + 1) * SKETCH_ROW // 8] = row["bits"]
+    return bytes(table)
+
+
+def _suffixes(pair_bits: bytes, triple_bits: bytes, depth: int) -> Callable:
+    """Distinct suffixes of at least three words, linked by frequent triples, with their number."""
     def emit(vocabulary: Vocabulary, ids: np.ndarray) -> pa.RecordBatch:
-        hashes = np.frombuffer(vocabulary.hashes, np.uint64)
-        left, right = ids[:-1], ids[1:]
-        link = np.zeros(len(ids) + depth, dtype=bool)
-        both = np.flatnonzero((left > 0) & (right > 0))
-        link[both] = _has(pair_bits, _pair_hash(hashes[left[both]], hashes[right[both]]))
-        starts = np.flatnonzero(link[:-1] & link[1:])
+        starts, hashes = _linked(vocabulary, ids, pair_bits)
+        starts = starts[_has(triple_bits, hashes, SKETCH)]
+        triple = np.zeros(len(ids) + depth, dtype=bool)
+        triple[starts] = True
         padded = np.concatenate([ids, np.zeros(depth, np.uint32)]).astype(np.int64)
-        columns, linked = [padded[starts]], np.ones(len(starts), dtype=bool)
-        for d in range(1, depth):
-            linked = linked & link[starts + d - 1]
+        columns, linked = [padded[starts + d] for d in range(3)], np.ones(len(starts), dtype=bool)
+        for d in range(3, depth):
+            linked = linked & triple[starts + d - 2]
             columns.append(np.where(linked, padded[starts + d], 0))
         # Exact numbers of equal suffixes, one word after the other.
-        code = columns[0]
-        for column in columns[1:]:
+        code, first, n = columns[0], np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        for column in columns[1:] if len(starts) else ():
             _, first, code, n = np.unique(code << 32 | column, return_index=True, return_inverse=True, return_counts=True)
-        if not len(starts):
-            first = n = np.empty(0, dtype=np.int64)
         table = np.stack([c[first] for c in columns], axis=1)
         words, langs, _ = vocabulary.columns(table[:, 0])
         size = (table > 0).sum(axis=1)
@@ -178,7 +229,7 @@ def _suffixes(pair_bits: bytes, depth: int) -> Callable[[Vocabulary, np.ndarray]
             pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), words.take(pa.array(table[table > 0])))
         return pa.RecordBatch.from_arrays([langs, lists, pa.array(n)], ["lang", "words", "f"])
 
-    return emit
+    return lambda: (emit, _nothing)
 
 
 def _bit_table(frequent: DataFrame, pair: bool) -> bytes:
@@ -298,18 +349,20 @@ def _routed(suffixes: DataFrame, pairs: DataFrame, total: int, depth: int, least
 
 
 def phrase_counts(docs: DataFrame, least: int = 100, longest: int = 5, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """``lang, phrase, size, f`` of all phrases of 1 to ``longest`` words with ``least`` occurrences or more, and ``lang, n``, the
+    """``lang, phrase, size, f`` of all phrases of 1 to ``longest`` (at least 3) words with ``least`` occurrences or more, and ``lang, n``, the
     number of all words. Both are stored tables."""
     docs = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     plain = "lang string, phrase string, f bigint"
     summed = lambda rows: rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    words = written_table(summed(_scanned(docs, None, plain, _words)).filter(
+    words = written_table(summed(_scanned(docs, None, plain, lambda: (_words, _nothing))).filter(
         F.col("phrase").isNull() | (F.col("f") >= least)), "phrase-words")
     totals = words.filter(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
     words = words.filter(F.col("phrase").isNotNull())
     word_bits = _bit_table(words, False)
-    pairs = written_table(summed(_scanned(docs, word_bits, plain, _pairs)).filter(F.col("f") >= least), "phrase-pairs")
-    suffixes = _scanned(docs, word_bits, "lang string, words array<string>, f bigint", _suffixes(_bit_table(pairs, True), longest))
+    pairs = written_table(summed(_scanned(docs, word_bits, plain, lambda: (_pairs, _nothing))).filter(F.col("f") >= least), "phrase-pairs")
+    pair_bits = _bit_table(pairs, True)
+    suffixes = _scanned(docs, word_bits, "lang string, words array<string>, f bigint",
+                        _suffixes(pair_bits, _triple_bits(docs, word_bits, pair_bits, least), longest))
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     rows, known = _routed(suffixes, pairs, total, longest, least, hot)
     keyed = rows.select("lang", _prefix(F.col("routed")).alias("key"), "routed", "words", "f")
