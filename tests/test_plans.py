@@ -1,14 +1,16 @@
 """Plan shapes against brute force, with chunks and hot-key limits small enough to matter."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from tracewarden.plans import ordering
+from tracewarden.plans.ordering import chunks_of
 from tracewarden.plans.running import Previous, RunningDistinct, RunningSum, with_row_number, with_running
 from tracewarden.plans.skew import split_join
-from tracewarden.plans.sliding import trailing_counts
+from tracewarden.plans.sliding import BUCKETS_A_SECOND, trailing_counts
 from tracewarden.plans.topk import first_k, k_smallest
 
 
@@ -108,3 +110,41 @@ def test_first_and_smallest(spark):
     top = k_smallest(df, ["k"], "v", 2, "x")
     assert {r.k: r.x for r in top.collect()} == {"a": ["v0", "v1"], "b": ["z"]}
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sparse_keys_give_full_chunks(spark):
+    # Keys 1e9 apart, and a dense run behind a wide gap.
+    far = spark.range(20_000).select((F.col("id") * 1_000_000_000).alias("no"))
+    both = spark.range(10_000).select((F.col("id") + (1 << 60)).alias("no")).unionByName(far)
+    for df, n in ((far, 20_000), (both, 30_000)):
+        chunks = chunks_of(df, "no", 1000)
+        sizes = [r.n for r in df.groupBy(chunks.of(F.col("no")).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert len(sizes) <= n / 1000 + 2 and max(sizes) <= 2000 and sum(sizes) == n
+        groups = df.select(chunks.group(chunks.of(F.col("no"))).alias("g")).distinct().count()
+        assert groups <= len(sizes)
+        numbered = with_row_number(df, "no", "n", width=1000)
+        assert [r.n for r in numbered.orderBy("no").collect()] == list(range(1, n + 1))
+
+
+def test_ranges_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGES", 4)
+    df = spark.range(2000).select(((F.col("id") - 1000) * (1 << 50)).alias("no"))
+    chunks = chunks_of(df, "no", 50)
+    assert len(chunks.bounds) == 5 and chunks.parts == 10
+    rows = df.select("no", chunks.of(F.col("no")).alias("c")).orderBy("no").collect()
+    assert [r.c for r in rows] == sorted(r.c for r in rows)
+    sizes = Counter(r.c for r in rows)
+    assert len(sizes) >= 35 and max(sizes.values()) <= 100
+    assert [r.n for r in with_row_number(df, "no", "n", width=50).orderBy("no").collect()] == list(range(1, 2001))
+
+
+def test_trailing_counts_of_a_hot_minute_are_spread(spark):
+    # 200,000 distinct times of one address in 50 seconds: no bucket of time holds more than a second's share of them.
+    n = 200_000
+    df = spark.range(n).select(F.lit("hot").alias("key"), (F.lit(1.7e9) + F.col("id") / 4000).alias("t"))
+    got = trailing_counts(df, ["key"], "t", 20)
+    bad = got.join(df.select("t", F.monotonically_increasing_id().alias("_")), "t").filter(
+        F.col("in_window") != F.least(F.round((F.col("t") - 1.7e9) * 4000).cast("bigint"), F.lit(80_000)) + 1)
+    assert got.count() == n and bad.count() == 0
+    rows = df.groupBy(F.floor(F.col("t") * BUCKETS_A_SECOND)).count().agg(F.max("count")).first()[0]
+    assert rows == 4000 / BUCKETS_A_SECOND

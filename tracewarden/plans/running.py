@@ -11,13 +11,14 @@ All specs of one call share one exchange of the rows, on the chunk.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tracewarden.plans.ordering import CHUNK_ROWS, chunk_group, chunk_of
+from tracewarden.plans.ordering import CHUNK_ROWS, Chunks, chunks_of
 
 
 @dataclass(frozen=True)
@@ -47,29 +48,39 @@ class Previous:
     value: Column
 
 
-def _before(per_chunk: DataFrame, keys, sums, lasts) -> DataFrame:
-    """Replace each chunk's sums and last values by those over all earlier chunks."""
-    earlier = (W.unboundedPreceding, -1)
-    total = lambda n, w: F.coalesce(F.sum(n).over(w), F.lit(0))
-    last = lambda n, w: F.last(n, ignorenulls=True).over(w)
-    if keys:
-        w = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(*earlier)
-        return per_chunk.select(
-            *keys, "_chunk", *[total(n, w).alias(n) for n in sums], *[last(n, w).alias(n) for n in lasts])
-    grouped = per_chunk.withColumn("_group", chunk_group(per_chunk, "_chunk"))
-    inside = W.partitionBy("_group").orderBy("_chunk").rowsBetween(*earlier)
-    # One row per group of chunks: a few rows even for trillions of packets.
-    across = W.orderBy("_group").rowsBetween(*earlier)
+_EARLIER = (W.unboundedPreceding, -1)
+
+
+def _total(name: str, w) -> Column:
+    return F.coalesce(F.sum(name).over(w), F.lit(0))
+
+
+def _last(name: str, w) -> Column:
+    return F.last(name, ignorenulls=True).over(w)
+
+
+def _per_chunk(sums, lasts, order: str) -> list[Column]:
+    return [*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sums],
+            *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in lasts]]
+
+
+def _before_all(source: DataFrame, order: str, chunks: Chunks, sums, lasts) -> DataFrame:
+    """Per chunk, sums and last values over all earlier chunks."""
+    per_chunk = source.groupBy("_chunk").agg(*_per_chunk(sums, lasts, order))
+    grouped = per_chunk.withColumn("_group", chunks.group(F.col("_chunk")))
+    inside = W.partitionBy("_group").orderBy("_chunk").rowsBetween(*_EARLIER)
+    # One row per group of chunks: a few thousand rows even for trillions of packets.
+    across = W.orderBy("_group").rowsBetween(*_EARLIER)
     known = lambda n: F.when(F.col(n).isNotNull(), F.col("_chunk"))
     base = grouped.groupBy("_group").agg(
         *[F.sum(n).alias(n) for n in sums], *[F.max_by(n, known(n)).alias(n) for n in lasts]
     ).select(
         "_group",
-        *[total(n, across).alias(f"_base_{n}") for n in sums],
-        *[last(n, across).alias(f"_base_{n}") for n in lasts],
+        *[_total(n, across).alias(f"_base_{n}") for n in sums],
+        *[_last(n, across).alias(f"_base_{n}") for n in lasts],
     )
     local = grouped.select(
-        "_group", "_chunk", *[total(n, inside).alias(n) for n in sums], *[last(n, inside).alias(n) for n in lasts])
+        "_group", "_chunk", *[_total(n, inside).alias(n) for n in sums], *[_last(n, inside).alias(n) for n in lasts])
     return local.join(base, "_group").select(
         "_chunk",
         *[(F.col(n) + F.col(f"_base_{n}")).alias(n) for n in sums],
@@ -77,49 +88,74 @@ def _before(per_chunk: DataFrame, keys, sums, lasts) -> DataFrame:
     )
 
 
+def _before_keys(source: DataFrame, order: str, sets) -> DataFrame:
+    """Per chunk and key, sums and last values over all earlier chunks; one aggregate for all sets of keys, ``(keys, sums, lasts)``."""
+    columns = list(dict.fromkeys(k for keys, _, _ in sets for k in keys))
+    sums, lasts = [n for s in sets for n in s[1]], [n for s in sets for n in s[2]]
+    if len(sets) == 1:
+        per_chunk = source.groupBy(*columns, "_chunk").agg(*_per_chunk(sums, lasts, order))
+        w = W.partitionBy(*columns).orderBy("_chunk").rowsBetween(*_EARLIER)
+        owned = lambda n, value: value
+    else:
+        per_chunk = source.groupingSets([[*keys, "_chunk"] for keys, _, _ in sets], *columns, "_chunk").agg(
+            F.grouping_id().alias("_set"), *_per_chunk(sums, lasts, order))
+        w = W.partitionBy("_set", *columns).orderBy("_chunk").rowsBetween(*_EARLIER)
+        # The number of a set has a bit for each column that it lacks; the last column is in all.
+        bit = {c: 2 << i for i, c in enumerate(reversed(columns))}
+        number = {n: sum(b for c, b in bit.items() if c not in keys) for keys, a, b_ in sets for n in (*a, *b_)}
+        owned = lambda n, value: F.when(F.col("_set") == number[n], value)
+    return per_chunk.select(
+        *columns, "_chunk", *[owned(n, _total(n, w)).alias(n) for n in sums], *[owned(n, _last(n, w)).alias(n) for n in lasts])
+
+
 def _by_keys(specs):
     ordered = sorted(specs, key=lambda s: s.keys)
     return [(keys, list(group)) for keys, group in groupby(ordered, key=lambda s: s.keys)]
 
 
-def with_running(df: DataFrame, order: str, specs, width: int = CHUNK_ROWS) -> DataFrame:
-    """Add one column per spec. ``order`` must be unique per row."""
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def with_running(df: DataFrame, order: str, specs, width: int = CHUNK_ROWS, chunks: Chunks | None = None) -> DataFrame:
+    """Add one column per spec. ``order`` must be unique per row. ``chunks`` spares a look at its values."""
+    chunks = chunks or chunks_of(df, order, width)
     sums = [s for s in specs if isinstance(s, RunningSum)]
     distincts = [s for s in specs if isinstance(s, RunningDistinct)]
     lasts = [s for s in specs if isinstance(s, Previous)]
 
     rows = df.select(
         "*",
-        chunk_of(df, order, width).alias("_chunk"),
+        chunks.of(F.col(order)).alias("_chunk"),
         F.lit(2).alias("_rank"),
         *[s.value.alias(f"_in_{s.name}") for s in [*sums, *lasts]],
     )
-    parts = [rows]
+    # One +1 at the first row of each (keys, item); it enters the scan just before that row.
+    firsts = {}
+    for s in distincts:
+        first = rows.groupBy(*s.keys, s.item).agg(F.min(order).alias(order))
+        firsts[s.name] = first.select(
+            *s.keys, order, chunks.of(F.col(order)).alias("_chunk"), F.lit(1).cast("bigint").alias(f"_in_{s.name}"))
+    parts = [rows, *[f.withColumn("_rank", F.lit(1)) for f in firsts.values()]]
+    sets = []
     for keys, group in _by_keys(specs):
-        inputs = [f"_in_{s.name}" for s in group if not isinstance(s, RunningDistinct)]
-        source = rows.select(*keys, order, "_chunk", *inputs)
-        for s in group:
-            if isinstance(s, RunningDistinct):
-                # One +1 at the first row of each (keys, item); it enters the scan just before that row.
-                firsts = rows.groupBy(*keys, s.item).agg(F.min(order).alias(order))
-                firsts = firsts.select(
-                    *keys, order, chunk_of(firsts, order, width).alias("_chunk"),
-                    F.lit(1).cast("bigint").alias(f"_in_{s.name}"),
-                )
-                parts.append(firsts.withColumn("_rank", F.lit(1)))
-                source = source.unionByName(firsts, allowMissingColumns=True)
         added = [f"_in_{s.name}" for s in group if not isinstance(s, Previous)]
         kept = [f"_in_{s.name}" for s in group if isinstance(s, Previous)]
-        per_chunk = source.groupBy(*keys, "_chunk").agg(
-            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in added],
-            *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in kept],
-        )
-        parts.append(_before(per_chunk, keys, added, kept).withColumn("_rank", F.lit(0)))
-
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part, allowMissingColumns=True)
-    merged = merged.repartition("_chunk")
+        if keys:
+            sets.append((keys, added, kept))
+        else:
+            own = [firsts[s.name] for s in group if s.name in firsts]
+            inputs = [n for n in (*added, *kept) if n in rows.columns]
+            source = _union([rows.select(order, "_chunk", *inputs), *own])
+            parts.append(_before_all(source, order, chunks, added, kept).withColumn("_rank", F.lit(0)))
+    if sets:
+        columns = list(dict.fromkeys(k for keys, _, _ in sets for k in keys))
+        inputs = [n for _, a, b in sets for n in (*a, *b) if n in rows.columns]
+        own = [firsts[s.name] for s in distincts if s.keys]
+        source = _union([rows.select(*columns, order, "_chunk", *inputs), *own])
+        parts.append(_before_keys(source, order, sets).withColumn("_rank", F.lit(0)))
+
+    merged = _union(parts).repartition("_chunk")
 
     def frame(keys):
         # Carry rows have a null order key and so come first.
