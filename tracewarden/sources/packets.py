@@ -3,11 +3,13 @@ time column ``ts``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewarden.plans.ordering import scan_key
 from tracewarden.schema import PACKET
+from tracewarden.sources.json_arrays import array_objects
 
 
 def _typed(df: DataFrame, *extra) -> DataFrame:
@@ -27,21 +29,30 @@ def packets_from_csv(spark: SparkSession, path) -> DataFrame:
     return _typed(raw, scan_key().alias("seq"))
 
 
+def _begins_with_array(spark: SparkSession, path) -> bool:
+    """Does the first file with any text begin with a bracket? Only its beginning is read."""
+    pieces = spark.read.option("lineSep", "}")
+    for file in sorted(spark.read.text(path).inputFiles()):
+        first = pieces.text(file).filter(F.trim("value") != "").limit(1).collect()
+        if first:
+            return first[0][0].lstrip().startswith("[")
+    return False
+
+
 def packets_from_json(spark: SparkSession, path, lines: bool | None = None) -> DataFrame:
-    """One JSON array of packet objects per file, or one object per line (``lines=True``).
+    """One object per line (``lines=True``), or one JSON array of packet objects per file, of any size: see
+    :mod:`tracewarden.sources.json_arrays`.
 
-    An array file is read by one task; use lines for large inputs. Unless told, the form is found by a look
-    at how lines begin; a folder with files of both forms raises.
+    Unless told, the form is that of the first file. No packet of a file of the other form is lost: an array in a single line is read with
+    the lines, and anything else raises when it is read.
     """
     if lines is None:
-        begins = spark.read.text(path).select(F.ltrim("value").substr(1, 1).alias("c"), F.input_file_name().alias("file"))
-        forms = begins.groupBy("file").agg(F.max(F.col("c") == "[").alias("array")).agg(
-            F.count_if("array").alias("arrays"), F.count_if(~F.col("array")).alias("others")).first()
-        if forms["arrays"] and forms["others"]:
-            raise ValueError(f"{path} holds both JSON arrays and JSON lines")
-        lines = not forms["arrays"]
-    raw = spark.read.schema(PACKET).option("mode", "FAILFAST").option("multiLine", not lines).json(path)
-    return _typed(raw, scan_key().alias("seq"))
+        lines = not _begins_with_array(spark, path)
+    if lines:
+        raw = spark.read.schema(PACKET).option("mode", "FAILFAST").json(path)
+        return _typed(raw, scan_key().alias("seq"))
+    objects = array_objects(spark, path)
+    return _typed(objects.select(F.from_json("text", PACKET, {"mode": "FAILFAST"}).alias("packet"), "seq").select("packet.*", "seq"), "seq")
 
 
 def packet_scan(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
@@ -66,11 +77,46 @@ def all_ip(packets: DataFrame) -> DataFrame:
     })
 
 
-def packet_stream(
-    spark: SparkSession, path: str, fmt: str = "json", files_per_trigger: int = 100
-) -> DataFrame:
-    """Packet files as they arrive in a folder."""
-    reader = spark.readStream.schema(PACKET).option("maxFilesPerTrigger", files_per_trigger)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    return _typed(reader.format(fmt).load(path))
+#: Columns that a streamed CSV file may have.
+CSV_COLUMNS = 32
+
+
+def _csv_stream(files: DataFrame) -> DataFrame:
+    """``path, pos, packet`` of CSV texts. The first line names the columns, in any order; a line is a record."""
+    names = [f"c{i}" for i in range(CSV_COLUMNS)]
+    cells = lambda line: F.from_csv(line, ", ".join(f"{n} string" for n in names))
+    lines = F.split("value", "\r?\n")
+    rows = files.select("path", cells(F.get(lines, F.lit(0))).alias("head"), F.posexplode(lines).alias("pos", "line")).filter(
+        (F.col("pos") > 0) & (F.trim("line") != "")).select("path", "pos", "head", cells(F.col("line")).alias("row"))
+    as_list = lambda c: F.array(*[F.col(c)[n] for n in names])
+    head, row = as_list("head"), as_list("row")
+
+    def value(name: str) -> Column:
+        at = F.array_position(F.transform(head, F.trim), name)
+        missing = F.raise_error(F.concat(F.lit(f"no column {name} in "), F.col("path"))).cast("string")
+        return F.when(F.coalesce(at, F.lit(0)) == 0, missing).otherwise(F.get(row, at.cast("int") - 1))
+
+    return rows.select("path", "pos", F.struct(*[value(f.name).cast(f.dataType).alias(f.name) for f in PACKET]).alias("packet"))
+
+
+def _json_stream(files: DataFrame) -> DataFrame:
+    """``path, pos, packet`` of JSON texts, each an array of packets or a packet in each line."""
+    strict = {"mode": "FAILFAST"}
+    whole = F.from_json("value", T.ArrayType(PACKET), strict)
+    lines = F.transform(F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != ""), lambda line: F.from_json(line, PACKET, strict))
+    packets = F.when(F.ltrim("value").startswith("["), whole).otherwise(lines)
+    return files.select("path", F.posexplode(packets).alias("pos", "packet"))
+
+
+def packet_stream(spark: SparkSession, path: str, fmt: str = "json", files_per_trigger: int = 100) -> DataFrame:
+    """Packet files as they arrive in a folder: JSON (an array, or lines) or CSV with a header.
+
+    ``seq`` orders packets as the scans' key does, by file and place in it; it is text, so that stateful functions can sort by it.
+    A file is read whole by one task, which is what gives its packets their places: let files arrive in pieces of at most some
+    hundred MB. Empty files have no packets. A record that can't be read raises.
+    """
+    files = spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", files_per_trigger).load(
+        path).select("value", F.col("_metadata.file_path").alias("path"))
+    records = {"csv": _csv_stream, "json": _json_stream}[fmt](files)
+    place = F.lpad(F.col("pos").cast("string"), 10, "0")
+    return _typed(records.select("packet.*", "path", "pos"), F.concat("path", F.lit("#"), place).alias("seq"))
