@@ -1,5 +1,8 @@
 """Streams over several micro-batches, and over a restart, equal their batch twins."""
 
+import csv
+import json
+import os
 from dataclasses import replace
 
 import pytest
@@ -11,7 +14,7 @@ from tracewarden.operators import alerts as A
 from tracewarden.operators import running_features as R
 from tracewarden.sources.packets import packet_stream
 from tracewarden.streaming import jobs as J
-from tracewarden.streaming.runtime import drain, drained, gathered, table_stream
+from tracewarden.streaming.runtime import drain, drained, gathered, reset, table_stream
 
 SCHEMA = "packet_no long, src_ip string, dst_ip string, dst_port int, protocol string, size long, ts double"
 
@@ -122,11 +125,117 @@ def test_all_six_rules_over_batches(spark, tmp_path):
     assert kinds >= {("PORT_SCAN", "Unusual port access"), ("DOS_ATTACK", "High request rate detected"), ("DOS_ATTACK", "High packet rate")}
 
 
-def test_packet_stream_reads_files(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.csv").write_text("src_ip,dst_ip,dst_port,protocol,size,timestamp\na,b,22,TCP,40,1.5\n")
-    drain(packet_stream(spark, str(tmp_path / "in"), "csv"), str(tmp_path / "out"), str(tmp_path / "state"))
-    assert spark.read.parquet(str(tmp_path / "out")).first().ts == 1.5
+@pytest.mark.parametrize("fmt", ["csv", "lines", "array"])
+def test_packet_stream_feeds_all_operators(spark, tmp_path, fmt):
+    folder, rows = tmp_path / "in", [(f"h{i % 3}", "d, \"x\"", 100 + (i * 7) % 23, "TCP", 1400 + i, 1000.0 + i / 4) for i in range(300)]
+    names = ["src_ip", "dst_ip", "dst_port", "protocol", "size", "timestamp"]
+    folder.mkdir()
+    for n in range(3):
+        part = [dict(zip(names, r)) for r in rows[n * 100:(n + 1) * 100]]
+        with open(folder / f"{n}.{fmt}", "w", newline="") as f:
+            if fmt == "csv":
+                writer = csv.DictWriter(f, ["more", *reversed(names)], escapechar="\\", doublequote=False)
+                writer.writeheader()
+                writer.writerows(part)
+            else:
+                f.write(json.dumps(part, indent=1) if fmt == "array" else "\n".join(map(json.dumps, part)) + "\n\n")
+        os.utime(folder / f"{n}.{fmt}", (1000 + n, 1000 + n))
+    packets = packet_stream(spark, str(folder), "csv" if fmt == "csv" else "json", files_per_trigger=1)
+    batch = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], SCHEMA)
+    plain = lambda df, *columns: sorted(tuple(r) for r in df.select(*columns).collect())
+    stored = drained(packets, "stored").orderBy("seq").collect()
+    assert [(r.src_ip, r.dst_ip, r.dst_port, r.protocol, r.size, r.ts) for r in stored] == rows
+    for streamed, want, columns in (
+        (J.stream_packet_features(packets, order="seq"), R.packet_features(batch).join(batch.select("packet_no", "ts"), "packet_no"),
+         ("src_ip", "ts", "packet_count_ip", "unique_ports")),
+        (J.stream_flow_bytes(packets, order="seq"), R.flow_bytes(batch), ("src_ip", "dst_ip", "ts", "flow_bytes")),
+        (J.stream_rate_limit(packets, order="seq"), R.rate_limited(batch), ("src_ip", "ts", "in_window")),
+        (J.stream_port_hits(packets, order="seq"), R.port_hits(batch), ("src_ip", "ts", "dst_port", "port_hits")),
+    ):
+        assert plain(drained(streamed, "streamed"), *columns) == plain(want, *columns)
+    raised = drained(gathered(J.all_alert_streams(packets, order="seq"), J.stream_alert_dedup, "raised"), "alerts")
+    assert plain(raised, *A.SIGNATURE) == plain(A.packet_alerts(batch), *A.SIGNATURE)
+
+
+def test_streamed_files_that_cannot_be_read_raise(spark, tmp_path):
+    for name, fmt, text in (("a", "csv", "src_ip,dst_ip\na,b\n"), ("b", "json", '{"src_ip": \n'), ("c", "json", '[{"src_ip": "a"}'),
+                            ("d", "csv", "src_ip,dst_ip,dst_port,protocol,size,timestamp\na,b,x,TCP,1,2\n")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f").write_text(text)
+        with pytest.raises(Exception):
+            drained(packet_stream(spark, str(tmp_path / name), fmt), "bad")
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "f").write_text("")
+    assert drained(packet_stream(spark, str(tmp_path / "e"), "json"), "empty").count() == 0
+
+
+def test_a_hot_address_is_handled_in_runs(spark, tmp_path, monkeypatch):
+    n = 1_000_000
+    spark.range(0, n, numPartitions=1).select(
+        F.col("id").alias("packet_no"), F.lit("hot").alias("src_ip"), F.lit("d").alias("dst_ip"),
+        ((F.col("id") * 40503) % 65536).cast("int").alias("dst_port"), F.lit("TCP").alias("protocol"), F.lit(40).cast("long").alias("size"),
+        (F.lit(1000.0) + F.col("id") / 16384).alias("ts")).write.parquet(str(tmp_path / "in" / "b0"))
+    found = drained(J.stream_packet_features(source(spark, str(tmp_path / "in"))), "hot")
+    row = found.agg(F.max("packet_count_ip"), F.max("unique_ports"), F.count(F.lit(1)), F.count_if(F.col("packet_count_ip") != F.col("packet_no") + 1)).first()
+    assert tuple(row) == (n, 65536, n, 0)
+    late = drained(J.stream_rate_limit(source(spark, str(tmp_path / "in")), replace(DEFAULTS, rate_window_s=2)), "hot-rate")
+    bad = late.filter(F.col("in_window") != F.least(F.col("packet_no") + 1, F.lit(32769)))
+    assert late.count() == n - DEFAULTS.rate_limit and bad.count() == 0
+
+
+def test_late_packets_are_kept_and_flagged(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    row = lambda n, ts: (n, "a", "b", 22, "TCP", 40, float(ts))
+    write(spark, folder, [row(i, 1000) for i in range(40)], "b0")
+    write(spark, folder, [row(40, 2000)], "b1")
+    write(spark, folder, [row(41, 1000), row(42, 1950)], "b2")
+    found = drained(J.rate_windows_and_late(source(spark, folder)), "late").orderBy("packet_no").collect()
+    assert [(r.packet_no, r.in_window, r.late) for r in found if r.packet_no > 39] == [(41, 1, True)]
+    assert len(found) == 41 and not any(r.late for r in found[:40])
+    # With state that ends, Spark drops such rows (by the watermark of the batch before), and draining counts them.
+    write(spark, folder, [row(43, 1000), row(44, 2001)], "b3")
+    dropped = drain(J.stream_flow_bytes(source(spark, folder), replace(DEFAULTS, idle_state_s=60.0)), str(tmp_path / "o"), str(tmp_path / "c"))
+    assert sum(dropped.values()) == 1 and spark.read.parquet(str(tmp_path / "o")).count() == 44
+
+
+def test_idle_state_ends(spark, tmp_path):
+    folder, cfg = str(tmp_path / "in"), replace(DEFAULTS, idle_state_s=10.0)
+    row = lambda n, ip, ts: (n, ip, "b", 22, "TCP", 40, float(ts))
+    for n, rows in enumerate(([row(0, "a", 1000), row(1, "a", 1001)], [row(2, "b", 9000)], [row(3, "b", 9001)], [row(4, "a", 9002)])):
+        write(spark, folder, rows, f"b{n}")
+    found = drained(J.stream_packet_features(source(spark, folder), cfg), "idle").orderBy("packet_no").collect()
+    assert [(r.packet_no, r.packet_count_ip, r.unique_ports) for r in found] == [(0, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 1, 1)]
+
+
+def test_a_repeated_batch_writes_nothing_twice(spark, tmp_path):
+    rows, folder = packet_rows(), str(tmp_path / "in")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    sums = lambda: J.stream_flow_bytes(source(spark, folder))
+    write(spark, folder, rows[:200], "b0")
+    drain(sums(), out, state)
+    before = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    # The batch was written, but the query ended before it was committed.
+    commits = sorted((p for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    write(spark, folder, rows[200:], "b1")
+    drain(sums(), out, state)
+    want = R.flow_bytes(spark.createDataFrame(rows, SCHEMA)).select("packet_no", "ts", "src_ip", "dst_ip", "flow_bytes")
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*want.columns).collect())
+    assert got == sorted(tuple(r) for r in want.collect()) and set(before) < set(got)
+
+
+def test_reset_forgets(spark, tmp_path):
+    folder, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    write(spark, folder, packet_rows(), "b0")
+    hits = J.stream_flow_bytes(source(spark, folder))
+    for _ in range(2):
+        drain(hits, out, state)
+        assert spark.read.parquet(out).agg(F.max("flow_bytes"), F.count(F.lit(1))).first()[1] == 300
+    reset(spark, out, state)
+    assert not (tmp_path / "out").exists() and not (tmp_path / "state").exists()
+    drain(hits, out, state)
+    assert spark.read.parquet(out).count() == 300
 
 
 def test_shared_folder(spark, monkeypatch):

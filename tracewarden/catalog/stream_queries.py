@@ -1,33 +1,73 @@
 """Streaming queries over the fixture, drained to files and read back.
 
-Windowed ones append a window when the watermark has passed its end, so their oracles take the
-windows that end two minutes before the last event or earlier.
+The rows arrive as several files, written one after the other in their order, and each micro-batch reads one: state crosses batches in
+every query. Packets are CSV or JSON files that ``packet_stream`` reads; other rows are Parquet files. Windowed queries append a
+window when the watermark has passed its end, so their oracles take the windows that end two minutes before the last event or earlier.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewarden.catalog.packet_queries import ALERTS, FEATURES, _ATTACK
 from tracewarden.catalog.registry import query
 from tracewarden.catalog.views import table, view
+from tracewarden.session import new_folder, written_table
 from tracewarden.sources import packets as S
 from tracewarden.streaming import jobs as J
-from tracewarden.streaming.runtime import chained, drained, gathered
+from tracewarden.streaming.runtime import chained, drain, drained, gathered, reset, table_stream
 
 _PACKETS = ["packets"]
 _ENTRIES = ["entries"]
+#: Least number of files, which is even, and rows of a file.
+FILES, FILE_ROWS = 4, 250_000
+_written: dict[tuple, str] = {}
+
+
+def _parts(df: DataFrame, order: str) -> Iterator[DataFrame]:
+    """The rows in stretches of their order, one to a file."""
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+    files = max(FILES, -(-n // FILE_ROWS))
+    files += files % 2
+    cuts = [low + (high + 1 - low) * i // files for i in range(files + 1)] if n else []
+    for a, b in zip(cuts, cuts[1:]):
+        yield df.filter((F.col(order) >= a) & (F.col(order) < b)).coalesce(1).sortWithinPartitions(order)
+
+
+def _files(spark, sf_dir: str, kind: str) -> str:
+    """A folder of files that arrived one after the other; written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _written:
+        folder = new_folder(spark, f"arrived-{kind}")
+        if kind == "events":
+            for part in _parts(table(spark, sf_dir, "events"), "event_id"):
+                part.write.mode("append").parquet(folder)
+        else:
+            for part in _parts(view(spark, sf_dir, "packets"), "packet_no"):
+                _write(part, folder, kind)
+        _written[key] = folder
+    return _written[key]
+
+
+def _write(part: DataFrame, folder: str, kind: str) -> None:
+    rows = part.withColumnRenamed("ts", "timestamp").drop("packet_no")
+    rows.write.mode("append").option("header", True).format(kind).save(folder)
 
 
 def stream(spark, sf_dir: str, name: str) -> DataFrame:
-    events = (
-        spark.readStream.schema(table(spark, sf_dir, "events").schema)
-        .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 1).parquet(
+        _files(spark, sf_dir, "events"))
     return view(spark, sf_dir, name, events)
 
 
+def arriving(spark, sf_dir: str, kind: str = "json") -> DataFrame:
+    """Packets with their ``seq``, a file in each micro-batch."""
+    return S.packet_stream(spark, _files(spark, sf_dir, kind), kind, files_per_trigger=1)
+
+
 _STREAMED = FEATURES + f"""
 , raised AS (
   SELECT 'PORT_SCAN' AS type, 'high' AS severity, concat('Unusual port access count: ', unique_ports) AS detail, src_ip AS ip
@@ -38,78 +78,104 @@ SELECT DISTINCT type, severity, detail, ip FROM raised"""
 _SIGNATURE = ["type", "severity", "detail", "ip"]
 
 
-def _oversized(spark, sf_dir) -> DataFrame:
-    return stream(spark, sf_dir, "packets").filter(F.col("size") > 1500).select(
+_OVERSIZED = """SELECT DISTINCT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size) AS detail, src_ip AS ip
+FROM packets WHERE size > 1500"""
+
+
+def _oversized(packets: DataFrame) -> DataFrame:
+    return packets.filter(F.col("size") > 1500).select(
         F.lit("OVERSIZED").alias("type"), F.lit("medium").alias("severity"),
         F.concat(F.lit("size "), F.col("size").cast("string")).alias("detail"),
         F.col("src_ip").alias("ip"), F.timestamp_seconds("ts").alias("event_time"))
 
 
-@query("packet_stream_source", "SELECT packet_no, src_ip, dst_port FROM packets WHERE protocol = 'TCP'", _PACKETS)
+@query("packet_stream_source", "SELECT src_ip, dst_ip, dst_port, protocol, size, ts FROM packets WHERE protocol = 'TCP'", _PACKETS)
 def _(spark, sf_dir):
-    tcp = S.tcp_only(stream(spark, sf_dir, "packets")).select("packet_no", "src_ip", "dst_port")
-    return drained(tcp, "source")
+    return drained(S.tcp_only(arriving(spark, sf_dir, "csv")), "source").drop("seq")
 
 
 @query("stream_packet_features", FEATURES + """
-SELECT packet_no, src_ip, packet_count_ip, unique_ports FROM feats""", _PACKETS)
+SELECT src_ip, ts, dst_port, protocol, packet_size, packet_count_ip, unique_ports,
+  coalesce(ts - lag(ts) OVER (PARTITION BY src_ip ORDER BY packet_no), 0) AS time_delta FROM feats""", _PACKETS)
 def _(spark, sf_dir):
-    features = J.stream_packet_features(stream(spark, sf_dir, "packets"))
-    return drained(features, "features").select("packet_no", "src_ip", "packet_count_ip", "unique_ports")
+    features = J.stream_packet_features(arriving(spark, sf_dir), order="seq")
+    return drained(features, "features").drop("seq", "dst_ip")
 
 
-@query("stream_flow_bytes", FEATURES + "\nSELECT packet_no, src_ip, dst_ip, flow_bytes FROM feats", _PACKETS)
+@query("stream_flow_bytes", FEATURES + "\nSELECT src_ip, dst_ip, ts, flow_bytes FROM feats", _PACKETS)
 def _(spark, sf_dir):
-    flows = J.stream_flow_bytes(stream(spark, sf_dir, "packets"))
-    return drained(flows, "flows").select("packet_no", "src_ip", "dst_ip", "flow_bytes")
+    return drained(J.stream_flow_bytes(arriving(spark, sf_dir), order="seq"), "flows").drop("seq")
 
 
-@query("stream_rate_limit", FEATURES + "\nSELECT packet_no, src_ip, in_window FROM feats WHERE in_window > 30", _PACKETS)
+@query("stream_rate_limit", FEATURES + "\nSELECT src_ip, ts, in_window FROM feats WHERE in_window > 30", _PACKETS)
 def _(spark, sf_dir):
-    limited = J.stream_rate_limit(stream(spark, sf_dir, "packets"))
-    return drained(limited, "rate").select("packet_no", "src_ip", "in_window")
+    return drained(J.stream_rate_limit(arriving(spark, sf_dir), order="seq"), "rate").drop("seq")
+
+
+@query("stream_port_hits", FEATURES + "\nSELECT src_ip, ts, dst_port, port_hits FROM feats WHERE port_hits > 15", _PACKETS)
+def _(spark, sf_dir):
+    return drained(J.stream_port_hits(arriving(spark, sf_dir), order="seq"), "hits").drop("seq")
+
+
+@query("stream_packet_volume", FEATURES + "\nSELECT DISTINCT src_ip, queue_length FROM feats WHERE queue_length >= 300", _PACKETS)
+def _(spark, sf_dir):
+    found = drained(J.stream_packet_volume(arriving(spark, sf_dir, "csv"), order="seq"), "volume")
+    return found.select("src_ip", "queue_length").distinct()
 
 
 @query("stream_pipeline", _STREAMED, _PACKETS)
 def _(spark, sf_dir):
     """Packets to raised alerts to deduplicated alerts."""
-    raised = J.stream_alerts(stream(spark, sf_dir, "packets"))
+    raised = J.stream_alerts(arriving(spark, sf_dir), order="seq")
     return drained(chained(raised, J.stream_alert_dedup, "raised"), "alerts").select(*_SIGNATURE)
 
 
 @query("stream_all_rules", ALERTS + "\nSELECT type, severity, detail, ip FROM alerts", _PACKETS)
 def _(spark, sf_dir):
     """As ``stream_pipeline``, whose SQL has three rules, with all six."""
-    raised = J.all_alert_streams(stream(spark, sf_dir, "packets"))
+    raised = J.all_alert_streams(arriving(spark, sf_dir), order="seq")
     return drained(gathered(raised, J.stream_alert_dedup, "raised-all"), "all-alerts").select(*_SIGNATURE)
 
 
-@query("stream_alert_dedup", """
-SELECT DISTINCT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size) AS detail, src_ip AS ip
-FROM packets WHERE size > 1500""", _PACKETS)
+@query("stream_alert_dedup", _OVERSIZED, _PACKETS)
 def _(spark, sf_dir):
-    raised = _oversized(spark, sf_dir)
+    raised = _oversized(arriving(spark, sf_dir))
     return drained(J.stream_alert_dedup(raised, forever=True), "dedup").select(*_SIGNATURE)
 
 
 @query("stream_new_alerts", """
-SELECT DISTINCT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size) AS detail, src_ip AS ip
-FROM packets WHERE size > 1500""", _PACKETS)
+SELECT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size) AS detail, src_ip AS ip,
+  CASE WHEN min(packet_no) < any_value(middle) THEN 1 ELSE 2 END AS fetch
+FROM packets, (SELECT min(packet_no) + (max(packet_no) + 1 - min(packet_no)) // 2 AS middle FROM packets)
+WHERE size > 1500 GROUP BY size, src_ip""", _PACKETS)
 def _(spark, sf_dir):
-    """A pipeline that writes alerts, and a reader that fetches what is new."""
-    raised = _oversized(spark, sf_dir)
-    fetched = chained(J.stream_alert_dedup(raised), lambda new: new, "alerts")
-    return drained(fetched, "fetched").select(*_SIGNATURE)
-
-
-@query("stream_reset", """
-SELECT DISTINCT 'OVERSIZED' AS type, 'medium' AS severity, concat('size ', size) AS detail, src_ip AS ip
-FROM packets WHERE size > 1500""", _PACKETS)
+    """Alerts are written while packets arrive, and a reader fetches what is new: after half of the files, and at the end."""
+    arrived, alerts, state, seen, reader = (
+        new_folder(spark, n) for n in ("arriving", "alerts", "alerts-state", "fetched", "reader-state"))
+    parts = list(_parts(view(spark, sf_dir, "packets"), "packet_no"))
+    for fetch, half in ((1, parts[:len(parts) // 2]), (2, parts[len(parts) // 2:])):
+        for part in half:
+            _write(part, arrived, "json")
+        raised = J.stream_alert_dedup(_oversized(S.packet_stream(spark, arrived, files_per_trigger=1)))
+        drain(raised, alerts, state)
+        new = table_stream(spark, alerts, raised.schema).select(*_SIGNATURE, F.lit(fetch).alias("fetch"))
+        drain(new, seen, reader)
+    return spark.read.schema(new.schema).parquet(seen)
+
+
+@query("stream_reset", f"SELECT *, unnest([1, 2]) AS run FROM ({_OVERSIZED})", _PACKETS)
 def _(spark, sf_dir):
-    """Run, then reset by starting over with fresh folders: every alert is raised again."""
-    alerts = J.stream_alert_dedup(_oversized(spark, sf_dir))
-    drained(alerts, "before-reset")
-    return drained(alerts, "after-reset").select(*_SIGNATURE)
+    """A run, which a second one continues without an alert; then a reset of output and state: every alert is raised again."""
+    out, state = new_folder(spark, "reset"), new_folder(spark, "reset-state")
+    alerts = J.stream_alert_dedup(_oversized(arriving(spark, sf_dir)))
+    found = []
+    for run in (1, 2):
+        drain(alerts, out, state)
+        drain(alerts, out, state)
+        found.append(written_table(spark.read.schema(alerts.schema).parquet(out).select(
+            *_SIGNATURE, F.lit(run).alias("run")), "reset-run"))
+        reset(spark, out, state)
+    return found[0].unionByName(found[1])
 
 
 @query("stream_ddos_burst", """
@@ -139,6 +205,6 @@ SELECT src_ip, CAST(min(ts) * 1000000 AS BIGINT) AS start, CAST((max(ts) + 5) *
   count(*) AS packets, CAST(sum(size) AS BIGINT) AS bytes FROM numbered GROUP BY src_ip, n
 HAVING max(ts) + 5 <= (SELECT max(ts) - 120 FROM packets)""", _PACKETS)
 def _(spark, sf_dir):
-    sessions = drained(J.stream_sessions(stream(spark, sf_dir, "packets")), "sessions")
+    sessions = drained(J.stream_sessions(arriving(spark, sf_dir)), "sessions")
     return sessions.withColumns({
         c: F.unix_micros(c) for c in ("start", "end")})

@@ -1,10 +1,10 @@
 """Streaming forms of the packet and log operators.
 
-State per address is kept only for what a running value needs. A group never holds more rows than
-its share of one micro-batch, whose size the source options bound. Windowed jobs run in append mode: a
-window appears once, when the watermark has passed its end. Rows later than the watermark are
-dropped by Spark and show in the query progress. Features and flow bytes have a watermark only where
-``idle_state_s`` is set, and otherwise count every row, however late.
+``order`` names the packets' order key, ``packet_no`` or the ``seq`` of :func:`tracewarden.sources.packets.packet_stream`. State per
+address is kept only for what a running value needs. A group is handled in runs of bounded size. Windowed jobs run in append mode: a
+window appears once, when the watermark has passed its end; rows later than the watermark are dropped by Spark and counted by
+:mod:`tracewarden.streaming.runtime`. Features, flow bytes and the rate limit have a watermark only where ``idle_state_s`` is set,
+and otherwise count every row, however late.
 """
 
 from __future__ import annotations
@@ -13,17 +13,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tracewarden.config import DEFAULTS, DetectionConfig
-from tracewarden.operators.classify import is_attack
-from tracewarden.schema import MODEL_COLUMNS
+from tracewarden.operators.alerts import with_anomaly
+from tracewarden.plans.sliding import BUCKETS_A_SECOND
 
-_FEATURES = ("packet_no long, ts double, src_ip string, dst_ip string, dst_port int, protocol string, "
-             "packet_size long, time_delta double, packet_count_ip long, unique_ports long")
-_FLOW = "packet_no long, ts double, src_ip string, dst_ip string, flow_bytes long"
+#: Rows of a group that a stateful function sorts at once. A larger group is handled in runs of so many, in the order of arrival.
+RUN_ROWS = 1 << 18
+
+
+def _field(packets: DataFrame, order: str) -> str:
+    return f"`{order}` {packets.schema[order].dataType.simpleString()}"
 
 
 def _with_event_time(packets: DataFrame, cfg: DetectionConfig) -> DataFrame:
@@ -38,10 +43,10 @@ def _running(packets: DataFrame, cfg: DetectionConfig) -> tuple[DataFrame, str]:
     return _with_event_time(packets, cfg), GroupStateTimeout.EventTimeTimeout
 
 
-def late_packets(packets: DataFrame, written: DataFrame) -> DataFrame:
+def late_packets(packets: DataFrame, written: DataFrame, order: str = "packet_no") -> DataFrame:
     """The rows of a table of ``packets`` that have no row in what a stream of running values has ``written``, with their
     ``late_rows`` number: those behind the watermark, once the stream has read all of the table."""
-    late = packets.join(written.select("packet_no"), "packet_no", "left_anti")
+    late = packets.join(written.select(order), order, "left_anti")
     return late.crossJoin(F.broadcast(late.agg(F.count(F.lit(1)).alias("late_rows"))))
 
 
@@ -59,111 +64,236 @@ def _seconds(interval: str) -> float:
     return float(number) * units[unit.removesuffix("s")]
 
 
-def _in_order(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(frames), ignore_index=True).sort_values(["ts", "packet_no"])
-
-
-def _per_ip(key, frames: Iterator[pd.DataFrame], state: GroupState, idle_s: float | None) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    count, last_ts, ports = state.get if state.exists else (0, None, [])
-    rows = _in_order(frames)
-    new = ~rows["dst_port"].duplicated() & ~rows["dst_port"].isin(ports)
-    before = rows["ts"].shift(1, fill_value=rows["ts"].iloc[0] if last_ts is None else last_ts)
-    rows["time_delta"] = rows["ts"] - before
-    rows["packet_count_ip"] = count + np.arange(1, len(rows) + 1)
-    rows["unique_ports"] = len(ports) + new.cumsum()
-    latest = float(rows["ts"].iloc[-1])
-    _keep(state, (count + len(rows), latest, list(ports) + [int(p) for p in rows.loc[new, "dst_port"]]), latest, idle_s)
-    yield rows.drop(columns="event_time")
-
-
-def _per_flow(key, frames: Iterator[pd.DataFrame], state: GroupState, idle_s: float | None) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    total = state.get[0] if state.exists else 0
-    rows = _in_order(frames)
-    rows["flow_bytes"] = total + rows["size"].cumsum()
-    _keep(state, (int(rows["flow_bytes"].iloc[-1]),), rows["ts"].iloc[-1], idle_s)
-    yield rows[["packet_no", "ts", "src_ip", "dst_ip", "flow_bytes"]]
-
-
-def stream_packet_features(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
-    """Running count, distinct ports (65,536 at most) and time delta per address.
-
-    The delta is per address: a global one would need a single task.
+def _runs(frames: Iterator[pd.DataFrame], order: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows in sorted runs of bounded size; most groups are one run."""
+    waiting, rows = [], 0
+    for frame in frames:
+        if len(frame):
+            waiting.append(frame)
+            rows += len(frame)
+        if rows >= RUN_ROWS:
+            yield pd.concat(waiting, ignore_index=True).sort_values(order, ignore_index=True)
+            waiting, rows = [], 0
+    if waiting:
+        yield (pd.concat(waiting, ignore_index=True) if len(waiting) > 1 else waiting[0]).sort_values(order, ignore_index=True)
+
+
+class _Expiring(StatefulProcessor):
+    """State per key that a timer ends ``idle_s`` after its last row, in event time; it stays, if that is None."""
+
+    def __init__(self, idle_s: float | None):
+        self.idle_s = idle_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+
+    def _touch(self, last_ts: float) -> None:
+        if self.idle_s is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(int((last_ts + self.idle_s) * 1000))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.forget()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class _Features(_Expiring):
+    """Count, last time, and the ports seen as bits, 256 to an entry: a batch reads and writes the entries of its own ports only."""
+
+    def __init__(self, order: str, idle_s: float | None):
+        super().__init__(idle_s)
+        self.order = ["ts", order]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.totals = handle.getValueState("totals", "packets long, ports long, last_ts double")
+        self.ports = handle.getMapState("ports", "block int", "bits binary")
+
+    def forget(self) -> None:
+        self.totals.clear()
+        self.ports.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        packets, ports, last_ts = self.totals.get() if self.totals.exists() else (0, 0, None)
+        blocks: dict[int, int] = {}
+        before = {}
+        for run in _runs(rows, self.order):
+            # A missing port is one of its own, as in a table of distinct values.
+            port = run["dst_port"].fillna(-1).astype("int64").to_numpy()
+            new = np.zeros(len(run), dtype=bool)
+            for at in np.unique(port, return_index=True)[1]:
+                block, bit = int(port[at]) >> 8, 1 << (int(port[at]) & 255)
+                if block not in blocks:
+                    stored = self.ports.getValue((block,)) if self.ports.containsKey((block,)) else None
+                    before[block] = blocks[block] = int.from_bytes(stored[0], "little") if stored else 0
+                if not blocks[block] & bit:
+                    blocks[block] |= bit
+                    new[at] = True
+            ts = run["ts"].to_numpy()
+            run["time_delta"] = np.diff(ts, prepend=ts[0] if last_ts is None else last_ts)
+            run["packet_count_ip"] = packets + np.arange(1, len(run) + 1)
+            run["unique_ports"] = ports + new.cumsum()
+            packets, ports, last_ts = packets + len(run), ports + int(new.sum()), float(ts[-1])
+            yield run.drop(columns="event_time")
+        for block, bits in blocks.items():
+            if bits != before[block]:
+                self.ports.updateValue((block,), (bits.to_bytes(32, "little"),))
+        if last_ts is not None:
+            self.totals.update((packets, ports, last_ts))
+            self._touch(last_ts)
+
+
+def stream_packet_features(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
+    """Running count, distinct ports and time delta per address.
+
+    The delta is per address: a global one would need a single task. Needs the RocksDB state store, which
+    :mod:`tracewarden.streaming.runtime` sets.
     """
-    timed, timeout = _running(packets, cfg)
-    rows = timed.select(
-        "packet_no", "ts", "src_ip", "dst_ip", "dst_port", "protocol",
-        F.col("size").alias("packet_size"), "event_time")
-    idle_s = cfg.idle_state_s
-    return rows.groupBy("src_ip").applyInPandasWithState(
-        lambda key, frames, state: _per_ip(key, frames, state, idle_s), _FEATURES, "count long, last_ts double, ports array<int>",
-        "append", timeout)
+    timed = _with_event_time(packets, cfg) if cfg.idle_state_s is not None else _running(packets, cfg)[0]
+    rows = timed.select(order, "ts", "src_ip", "dst_ip", "dst_port", "protocol", F.col("size").alias("packet_size"), "event_time")
+    return rows.groupBy("src_ip").transformWithStateInPandas(
+        _Features(order, cfg.idle_state_s),
+        f"{_field(packets, order)}, ts double, src_ip string, dst_ip string, dst_port int, protocol string, packet_size long, "
+        "time_delta double, packet_count_ip long, unique_ports long",
+        "Append", "None" if cfg.idle_state_s is None else "EventTime")
 
 
-def stream_flow_bytes(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+def stream_flow_bytes(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
     """Running bytes per flow. A stream of its own, keyed by the pair: a host that reaches many others
     is many small states, not a large one."""
-    timed, timeout = _running(packets, cfg)
-    rows = timed.select("packet_no", "ts", "src_ip", "dst_ip", "size", "event_time")
     idle_s = cfg.idle_state_s
+
+    def per_flow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        total = state.get[0] if state.exists else 0
+        for run in _runs(frames, ["ts", order]):
+            run["flow_bytes"] = total + run["size"].cumsum()
+            total = int(run["flow_bytes"].iloc[-1])
+            _keep(state, (total,), run["ts"].iloc[-1], idle_s)
+            yield run[[order, "ts", "src_ip", "dst_ip", "flow_bytes"]]
+
+    timed, timeout = _running(packets, cfg)
+    rows = timed.select(order, "ts", "src_ip", "dst_ip", "size", "event_time")
     return rows.groupBy("src_ip", "dst_ip").applyInPandasWithState(
-        lambda key, frames, state: _per_flow(key, frames, state, idle_s), _FLOW, "total long", "append", timeout)
+        per_flow, f"{_field(packets, order)}, ts double, src_ip string, dst_ip string, flow_bytes long", "total long", "append", timeout)
+
+
+class _RateLimit(_Expiring):
+    """Times of an address with their counts, in buckets of a quarter of a second: totals of all buckets that a window can still
+    reach, and the times of each bucket as an entry of its own. A batch reads the buckets that it adds to and those that its windows
+    begin in; whole buckets between are sums of totals."""
+
+    def __init__(self, order: str, cfg: DetectionConfig):
+        super().__init__(cfg.idle_state_s)
+        self.order, self.cfg = order, cfg
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.totals = handle.getMapState("totals", "bucket long", "n long")
+        self.times = handle.getMapState("times", "bucket long", "ts array<double>, n array<long>")
+
+    def forget(self) -> None:
+        self.totals.clear()
+        self.times.clear()
+
+    def _load(self, known: dict, totals: dict, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+        if bucket not in known:
+            found = self.times.getValue((bucket,)) if bucket in totals else ([], [])
+            known[bucket] = np.array(found[0], dtype=float), np.array(found[1], dtype=np.int64)
+        return known[bucket]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        width = self.cfg.rate_window_s * BUCKETS_A_SECOND
+        reach = width + int(_seconds(self.cfg.watermark) * BUCKETS_A_SECOND)
+        totals = {b[0]: n[0] for b, n in self.totals.iterator()}
+        stored, known, touched, last = set(totals), {}, set(), None
+        for run in _runs(rows, ["ts", self.order]):
+            newest = max(totals, default=None)
+            ts, n = np.unique(run["ts"].to_numpy(), return_counts=True)
+            bucket = np.floor(ts * BUCKETS_A_SECOND).astype(np.int64)
+            for b in np.unique(bucket).tolist():
+                old, counts = self._load(known, totals, b)
+                here = bucket == b
+                merged, at = np.unique(np.concatenate([old, ts[here]]), return_inverse=True)
+                known[b] = merged, np.bincount(at, np.concatenate([counts, n[here]])).astype(np.int64)
+                totals[b] = int(known[b][1].sum())
+                touched.add(b)
+            buckets = np.array(sorted(totals))
+            sums = np.concatenate([[0], np.cumsum([totals[b] for b in buckets.tolist()])])
+            found = sums[np.searchsorted(buckets, bucket)] - sums[np.searchsorted(buckets, bucket - width, side="right")]
+            for b in np.unique(bucket).tolist():
+                here = np.flatnonzero(bucket == b)
+                times, counts = known[b]
+                found[here] += np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(times, ts[here], side="right")]
+                times, counts = self._load(known, totals, b - width)
+                below = np.concatenate([[0], np.cumsum(counts)])
+                found[here] += below[-1] - below[np.searchsorted(times, ts[here] - self.cfg.rate_window_s, side="left")]
+            at = np.searchsorted(ts, run["ts"].to_numpy())
+            run["in_window"] = found[at]
+            # Their windows reach back to buckets that may be gone.
+            run["late"] = (bucket < newest - (reach - width))[at] if newest is not None else False
+            last = float(ts[-1]) if last is None else max(last, float(ts[-1]))
+            for b in [b for b in totals if b < max(totals) - reach]:
+                del totals[b]
+                known.pop(b, None)
+                touched.discard(b)
+            yield run.loc[(run["in_window"] > self.cfg.rate_limit) | run["late"], [self.order, "ts", "src_ip", "in_window", "late"]]
+        for b in touched:
+            times, counts = known[b]
+            self.totals.updateValue((b,), (totals[b],))
+            self.times.updateValue((b,), (times.tolist(), counts.tolist()))
+        for b in stored - set(totals):
+            self.totals.removeKey((b,))
+            self.times.removeKey((b,))
+        if last is not None:
+            self._touch(last)
+
+
+def rate_windows_and_late(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
+    """``order, ts, src_ip, in_window, late``: packets of addresses above the rate in the window that ends at the packet, and
+    packets that are ``late``: more than the watermark's delay older than the newest of their address in the batches before. Late ones
+    are counted with what is known of their window, so they are kept, and ``in_window`` is a lower bound for them.
+
+    State: per address, the times of the last window and of the delay before it. With ``idle_state_s`` it ends, and Spark drops rows
+    behind the watermark; :func:`tracewarden.streaming.runtime.drain` counts those.
+    """
+    timed = _with_event_time(packets, cfg) if cfg.idle_state_s is not None else packets
+    kept = [order, "ts", "src_ip"] + (["event_time"] if cfg.idle_state_s is not None else [])
+    return timed.select(*kept).groupBy("src_ip").transformWithStateInPandas(
+        _RateLimit(order, cfg), f"{_field(packets, order)}, ts double, src_ip string, in_window long, late boolean",
+        "Append", "None" if cfg.idle_state_s is None else "EventTime")
 
 
-def stream_rate_limit(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
-    """Packets of addresses above the rate in the window that ends at the packet.
+def stream_rate_limit(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
+    """Packets of addresses above the rate in the window that ends at the packet."""
+    return rate_windows_and_late(packets, cfg, order).filter(F.col("in_window") > cfg.rate_limit).drop("late")
 
-    State: the distinct times of the last window with their counts, and those before it that a row as late as the
-    watermark admits can still need.
-    """
-    width, limit, idle_s = cfg.rate_window_s, cfg.rate_limit, cfg.idle_state_s
-    reach = width + _seconds(cfg.watermark)
 
-    def limited(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        times, counts = state.get if state.exists else ([], [])
-        rows = _in_order(frames)
-        known = pd.Series(counts, index=times, dtype="int64").add(rows.groupby("ts").size(), fill_value=0).sort_index()
-        at = known.index.to_numpy(dtype=float)
-        total = np.concatenate([[0], np.cumsum(known.to_numpy(dtype="int64"))])
-        ts = rows["ts"].to_numpy()
-        rows["in_window"] = (
-            total[np.searchsorted(at, ts, side="right")] - total[np.searchsorted(at, ts - width, side="left")])
-        recent = known[at >= at[-1] - reach]
-        _keep(state, ([float(t) for t in recent.index], [int(n) for n in recent]), at[-1], idle_s)
-        yield rows.loc[rows["in_window"] > limit, ["packet_no", "ts", "src_ip", "in_window"]]
-
-    rows = _with_event_time(packets, cfg).select("packet_no", "ts", "src_ip", "event_time")
-    return rows.groupBy("src_ip").applyInPandasWithState(
-        limited, "packet_no long, ts double, src_ip string, in_window long",
-        "times array<double>, counts array<long>", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def stream_port_hits(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+def stream_port_hits(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
     """Packets to a port beyond its ``port_hits`` first ones. State: a count per port."""
     limit = cfg.port_hits
 
     def hits(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         count = state.get[0] if state.exists else 0
-        rows = _in_order(frames)
-        rows["port_hits"] = count + np.arange(1, len(rows) + 1)
-        state.update((count + len(rows),))
-        yield rows[rows["port_hits"] > limit]
+        for run in _runs(frames, ["ts", order]):
+            run["port_hits"] = count + np.arange(1, len(run) + 1)
+            count += len(run)
+            yield run[run["port_hits"] > limit]
+        state.update((count,))
 
-    rows = packets.select("packet_no", "ts", "src_ip", "dst_port")
+    rows = packets.select(order, "ts", "src_ip", "dst_port")
     return rows.groupBy("dst_port").applyInPandasWithState(
-        hits, "packet_no long, ts double, src_ip string, dst_port int, port_hits long", "count long", "append",
+        hits, f"{_field(packets, order)}, ts double, src_ip string, dst_port int, port_hits long", "count long", "append",
         GroupStateTimeout.NoTimeout)
 
 
-def stream_packet_volume(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+def stream_packet_volume(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
     """``ts, src_ip, queue_length``: the queue's lengths from ``volume_limit`` on, each with the address that it was reached with;
     the full queue once per address and batch.
 
@@ -171,40 +301,41 @@ def stream_packet_volume(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) ->
     not full, so only those go to the one group that counts; the others go by address. State: one count.
     """
     full, limit = cfg.volume_window, cfg.volume_limit
-    order = ["ts", "packet_no"]
+    places = ["ts", order]
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = None
         for frame in frames:
-            first = (frame if first is None else pd.concat([first, frame], ignore_index=True)).sort_values(order)
+            first = (frame if first is None else pd.concat([first, frame], ignore_index=True)).sort_values(places)
             later, first = first.iloc[full:].drop_duplicates("src_ip"), first.iloc[:full]
             yield later.assign(full=True, who=later["src_ip"])
         if first is not None:
             yield first.assign(full=False, who=None)
 
     def volume(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _in_order(frames)
-        if key[0]:
-            rows["queue_length"] = full
-        else:
-            count = state.get[0] if state.exists else 0
-            rows["queue_length"] = np.minimum(count + np.arange(1, len(rows) + 1), full)
-            state.update((min(count + len(rows), full),))
-        rows = rows[rows["queue_length"] >= limit].drop_duplicates(["src_ip", "queue_length"])
-        yield rows[["ts", "src_ip", "queue_length"]]
-
-    rows = packets.select("packet_no", "ts", "src_ip").mapInPandas(
-        split, "packet_no long, ts double, src_ip string, full boolean, who string")
+        count = state.get[0] if state.exists else 0
+        for run in _runs(frames, places):
+            if key[0]:
+                run["queue_length"] = full
+            else:
+                run["queue_length"] = np.minimum(count + np.arange(1, len(run) + 1), full)
+                count = min(count + len(run), full)
+                state.update((count,))
+            run = run[run["queue_length"] >= limit].drop_duplicates(["src_ip", "queue_length"])
+            yield run[["ts", "src_ip", "queue_length"]]
+
+    rows = packets.select(order, "ts", "src_ip").mapInPandas(
+        split, f"{_field(packets, order)}, ts double, src_ip string, full boolean, who string")
     return rows.groupBy("full", "who").applyInPandasWithState(
         volume, "ts double, src_ip string, queue_length long", "count long", "append", GroupStateTimeout.NoTimeout)
 
 
-def feature_alerts(features: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+def feature_alerts(features: DataFrame, cfg: DetectionConfig = DEFAULTS, model: PipelineModel | None = None) -> DataFrame:
     """Alerts of the rules whose inputs the streamed features hold; needs no state.
 
-    The classifier reads no flow bytes, so a constant stands for them.
+    The rule classifier reads no flow bytes, so a constant stands for them; a fitted ``model`` must do without them too.
     """
-    features = features.withColumn("flow_bytes", F.lit(0))
+    features = with_anomaly(features.withColumn("flow_bytes", F.lit(0)), cfg, model)
     alert = lambda kind, severity, detail: F.struct(
         F.lit(kind).alias("type"), F.lit(severity).alias("severity"), detail.alias("detail"),
         F.col("src_ip").alias("ip"), F.timestamp_seconds("ts").alias("event_time"))
@@ -215,7 +346,7 @@ def feature_alerts(features: DataFrame, cfg: DetectionConfig = DEFAULTS) -> Data
         F.when(F.col("packet_size") > cfg.max_packet_size, alert(
             "SUSPICIOUS_PACKET", "medium",
             F.concat(F.lit("Large packet size: "), F.col("packet_size").cast("string")))),
-        F.when(is_attack(list(MODEL_COLUMNS)) == 1, alert(
+        F.when(F.col("_anomaly"), alert(
             "ML_ANOMALY", "high", F.lit("Machine learning model flagged anomaly"))),
     )
     return features.select(F.inline(F.filter(found, lambda a: a.isNotNull())))
@@ -229,13 +360,14 @@ def stream_alert_dedup(alerts: DataFrame, cfg: DetectionConfig = DEFAULTS, forev
     return alerts.withWatermark("event_time", cfg.watermark).dropDuplicatesWithinWatermark(signature)
 
 
-def stream_alerts(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+def stream_alerts(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no",
+                  model: PipelineModel | None = None) -> DataFrame:
     """Packets to raised alerts. The files this writes feed :func:`stream_alert_dedup`, as a second
     query: Spark allows no other stateful step after a grouped one with event-time timeout."""
-    return feature_alerts(stream_packet_features(packets, cfg), cfg)
+    return feature_alerts(stream_packet_features(packets, cfg, order), cfg, model)
 
 
-def all_alert_streams(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> list[DataFrame]:
+def all_alert_streams(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> list[DataFrame]:
     """Packets to raised alerts of all six rules, as streams of the same columns with a state of their own each. The files
     they write are read together by :func:`stream_alert_dedup`."""
     def alerts(rows: DataFrame, kind: str, severity: str, detail) -> DataFrame:
@@ -245,10 +377,10 @@ def all_alert_streams(packets: DataFrame, cfg: DetectionConfig = DEFAULTS) -> li
 
     text = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
     return [
-        stream_alerts(packets, cfg),
-        alerts(stream_port_hits(packets, cfg), "PORT_SCAN", "high", text("Unusual port access: ", "dst_port")),
-        alerts(stream_rate_limit(packets, cfg), "DOS_ATTACK", "critical", F.lit("High request rate detected")),
-        alerts(stream_packet_volume(packets, cfg), "DOS_ATTACK", "critical", text("High packet rate: ", "queue_length")),
+        stream_alerts(packets, cfg, order),
+        alerts(stream_port_hits(packets, cfg, order), "PORT_SCAN", "high", text("Unusual port access: ", "dst_port")),
+        alerts(stream_rate_limit(packets, cfg, order), "DOS_ATTACK", "critical", F.lit("High request rate detected")),
+        alerts(stream_packet_volume(packets, cfg, order), "DOS_ATTACK", "critical", text("High packet rate: ", "queue_length")),
     ]
 
 

@@ -1,37 +1,82 @@
-"""Start, drain and restart streams. Checkpoints live in the shared folder."""
+"""Start, drain, restart and reset streams. Checkpoints live in the shared folder, state in RocksDB.
+
+The outputs are Parquet tables with a log of their batches: a batch that was written but not committed is not written again when its
+query starts anew, so no row is lost or repeated.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.session import new_folder
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Seconds between two looks at the progress of a stream that is drained.
+LOOK_S = 5
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """A query takes the setting over when it starts; the session gets its own back."""
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _started(stream: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
+    # A stream without a batch makes no folder, and readers want one.
+    files, path = _file_system(stream.sparkSession, out)
+    files.mkdirs(path)
+    writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    with _rocksdb(stream.sparkSession):
+        return writer.trigger(**trigger).start(out)
+
 
 def start(stream: DataFrame, out: str, checkpoint: str, cfg: DetectionConfig = DEFAULTS) -> StreamingQuery:
     """Append the stream's rows to Parquet files at ``out``, continuing from ``checkpoint``.
 
     To pause, stop the query; starting it again with the same two folders loses and repeats nothing.
-    To reset, start it with a new checkpoint and a new output: that clears all state at once.
+    To reset, stop it, :func:`reset` the two folders and start it again.
     """
-    return (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=cfg.trigger)
-        .start(out)
-    )
-
-
-def drain(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Process all that is there, then stop."""
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    query.awaitTermination()
+    return _started(stream, out, checkpoint, processingTime=cfg.trigger)
+
+
+def _note_late(query: StreamingQuery, late: dict[int, int]) -> None:
+    for progress in query.recentProgress:
+        dropped = sum(s["numRowsDroppedByWatermark"] for s in progress["stateOperators"])
+        if dropped:
+            late[progress["batchId"]] = dropped
+
+
+def drain(stream: DataFrame, out: str, checkpoint: str) -> dict[int, int]:
+    """Process all that is there, then stop. Returns how many rows each batch dropped behind the watermark, if any.
+
+    A stateful step counts what reaches it: rows that a partial aggregate put together before count as one."""
+    query, late = _started(stream, out, checkpoint, availableNow=True), {}
+    while not query.awaitTermination(LOOK_S):
+        _note_late(query, late)
+    _note_late(query, late)
+    return late
+
+
+def reset(spark: SparkSession, *folders: str) -> None:
+    """Forget a stopped stream: its checkpoint with all state, and its output."""
+    for folder in folders:
+        files, path = _file_system(spark, folder)
+        files.delete(path, True)
 
 
 def drained(stream: DataFrame, label: str) -> DataFrame:
