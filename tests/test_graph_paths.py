@@ -92,7 +92,7 @@ def test_against_walks(spark, seed):
     calls = random_calls(seed)
     e, naive = edge_frame(spark, calls), Naive(calls)
     start = calls[0][0]
-    assert [r.node for r in G.bfs(e, start).orderBy("depth", "path_key").collect()] == naive.bfs(start)
+    assert [r.node for r in G.bfs(e, start).orderBy("depth", "rank").collect()] == naive.bfs(start)
     assert {r.node: r.component for r in G.components_directed(e).collect()} == naive.components()
     assert {r.node: r.component for r in G.components_weak(e).collect()} == Naive(calls, False).components()
     both = edge_frame(spark, calls, directed=False)
@@ -115,7 +115,7 @@ def test_split_keys_give_the_same_components(spark, monkeypatch):
     assert {r.node: r.component for r in G.components_directed(e).collect()} == Naive(calls).components()
     assert {r.node: r.component for r in G.components_weak(e).collect()} == Naive(calls, False).components()
     start = calls[0][0]
-    assert [r.node for r in G.bfs(e, start).orderBy("depth", "path_key").collect()] == Naive(calls).bfs(start)
+    assert [r.node for r in G.bfs(e, start).orderBy("depth", "rank").collect()] == Naive(calls).bfs(start)
 
 
 def test_long_chain_needs_few_rounds(spark, monkeypatch):
@@ -139,6 +139,21 @@ def test_small_cases(spark):
     assert (loop.weight, loop.calls) == (2, 1)
     probes = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
     assert sorted(tuple(r) for r in G.edge_weight(probes, e).collect()) == [("a", "b", 2), ("b", "a", 0)]
-    assert G.graph_statistics(e.limit(0)).count() == 0
+    assert [tuple(r) for r in G.graph_statistics(e.limit(0)).collect()] == [(0, 0, None, None, None, None)]
+    assert tuple(G.graph_statistics(e.limit(0), isolated=alone).first()) == (1, 0, 0.0, 0, 0, 1)
+    assert tuple(G.graph_statistics(e, isolated=alone).first()) == (4, 4, 0.75, 2, 0, 3)
     data = spark.createDataFrame([("a", "x", 0), ("a", None, 1)], "node string, data string, seq long")
     assert G.node_data(data).first().data == "x"
+
+
+def test_walks_of_large_levels(spark, monkeypatch):
+    calls = random_calls(4, 30, 60)
+    e = edge_frame(spark, calls)
+    monkeypatch.setattr(G, "LEVEL_ROWS", 2)
+    assert [r.node for r in G.bfs(e, calls[0][0]).orderBy("depth", "rank").collect()] == Naive(calls).bfs(calls[0][0])
+    star = spark.range(300_000).select(
+        F.lit("hub").alias("src"), F.concat(F.lit("leaf"), F.col("id").cast("string")).alias("dst"), F.lit(1).alias("weight"),
+        ((F.col("id") * 7919) % 300_000).alias("first_seq"))
+    monkeypatch.setattr(G, "LEVEL_ROWS", 1000)
+    order = G.bfs(star, "hub").filter("depth = 1").join(star, F.col("node") == F.col("dst")).orderBy("rank").select("first_seq")
+    assert [r[0] for r in order.collect()] == list(range(300_000))

@@ -48,8 +48,8 @@ def test_json_array_and_lines(spark, tmp_path):
     assert S.packet_scan(spark, str(tmp_path / "lines.json")).count() == 3
     (tmp_path / "tall.json").write_text(json.dumps(rows, indent=1))
     assert S.packet_scan(spark, str(tmp_path / "tall.json")).count() == 3
-    with pytest.raises(ValueError):
-        S.packets_from_json(spark, str(tmp_path))
+    with pytest.raises(Exception, match="MALFORMED|alformed"):
+        S.packets_from_json(spark, str(tmp_path)).collect()
 
 
 def test_differing_headers_raise(spark, tmp_path):
@@ -152,6 +152,26 @@ def test_saved_model(spark, tmp_path):
     assert C.model_score(data, missing).filter("prediction != 0").count() == 0 and C.model_metadata(missing) == {}
 
 
+def test_tree_as_sql(spark):
+    rnd = random.Random(5)
+    rows = [tuple(rnd.choice([0.0, 1.5, -2.0, 7.25, 1e9, rnd.random()]) for _ in MODEL_COLUMNS) for _ in range(400)]
+    data = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in MODEL_COLUMNS)).withColumn(
+        "label", ((F.col("packet_size") > 1) != (F.col("unique_ports") > F.col("time_delta"))).cast("int"))
+    model = C.fit_tree(data.unionByName(data.limit(3).withColumn("time_delta", F.lit(None).cast("double"))))
+    both = C.model_score(data, model).withColumn("sql", F.expr(C.tree_sql(model)))
+    assert both.filter("sql != prediction").count() == 0 and both.select("sql").distinct().count() == 2
+
+
+def test_model_in_the_packet_path(spark):
+    rows = [(i, "a" if i % 2 else "b", "d", 22, "TCP", 100 + i, i / 4) for i in range(30)]
+    packets = packet_frame(spark, [r[1:] for r in rows])
+    learned = R.packet_features(packets).withColumn("label", (F.col("packet_size") > 120).cast("int"))
+    model = C.fit_tree(learned)
+    found = {(r.type, r.ip) for r in A.packet_alerts(packets, model=model).collect()}
+    assert ("ML_ANOMALY", "a") in found and ("ML_ANOMALY", "b") in found
+    assert not any(t == "ML_ANOMALY" for t, _ in {(r.type, r.ip) for r in A.packet_alerts(packets).collect()})
+
+
 def test_keyed_contains_needs_a_value(spark):
     table = spark.createDataFrame([("a", 1), ("b", None)], "key string, value int")
     probes = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
@@ -214,3 +234,10 @@ def test_string_features(spark):
     assert (one.numstrings, one.paths, one.urls, one.registry, one.MZ) == (2, 1, 1, 1, 1)
     assert one.printables == len("C:\\dir http://x") + len("HKEY_A MZ")
     assert (two.numstrings, two.avlength, two.entropy) == (0, 0.0, 0.0)
+
+
+def test_alerts_of_large_packet_numbers(spark):
+    rows = [(2_000_000_000_000_000_000 + i, "a", "d", 22, "TCP", 2000 + i % 2, float(i)) for i in range(4)]
+    packets = spark.createDataFrame(rows, "packet_no long, src_ip string, dst_ip string, dst_port int, protocol string, size long, ts double")
+    found = {r.detail: (r.seq["at"], r.seq["rule"]) for r in A.packet_alerts(packets).collect()}
+    assert found == {"Large packet size: 2000": (rows[0][0], 5), "Large packet size: 2001": (rows[1][0], 5)}

@@ -7,9 +7,8 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from tracewarden.catalog.log_queries import _any, entries
-from tracewarden.catalog.packet_queries import packets
 from tracewarden.catalog.registry import query
-from tracewarden.catalog.views import table
+from tracewarden.catalog.views import table, view
 from tracewarden.config import DEFAULTS
 from tracewarden.functions import patterns as P
 from tracewarden.operators import byte_features as B
@@ -90,15 +89,21 @@ def _(spark, sf_dir):
 
 
 # -- flows ------------------------------------------------------------------------------------
-# The fixture's flows have one direction only, so the backward columns are empty here; the tests
-# cover two-way flows.
+# The packets of the fixture, a third of them as answers.
 
-_FLOWS = """
-, flows AS (
-  SELECT *, least(src_ip, dst_ip) AS host_a, greatest(src_ip, dst_ip) AS host_b,
-    (ts - lag(ts) OVER (PARTITION BY src_ip, dst_ip, dst_port, protocol ORDER BY packet_no)) * 1000000 AS gap
-  FROM packets)"""
 _KEY = "host_a, host_b, dst_port, protocol"
+_FLOWS = f"""
+, keyed AS (SELECT *, least(src_ip, dst_ip) AS host_a, greatest(src_ip, dst_ip) AS host_b FROM two_way)
+, flows AS (
+  SELECT *, src_ip = first_value(src_ip) OVER (PARTITION BY {_KEY} ORDER BY packet_no) AS fwd,
+    (ts - lag(ts) OVER (PARTITION BY {_KEY} ORDER BY packet_no)) * 1000000 AS gap,
+    (ts - lag(ts) OVER (PARTITION BY {_KEY}, src_ip ORDER BY packet_no)) * 1000000 AS side_gap
+  FROM keyed)"""
+_WAYS = {"Fwd": "FILTER (fwd)", "Bwd": "FILTER (NOT fwd)"}
+
+
+def two_way(spark, sf_dir):
+    return view(spark, sf_dir, "two_way")
 
 
 def _rounded(df):
@@ -108,10 +113,10 @@ def _rounded(df):
     ])
 
 
-def _spread(value: str, name: str) -> str:
+def _spread(value: str, name: str, way: str = "") -> str:
     return ", ".join([
-        f'round(avg({value}), 4) AS "{name} Mean"', f'round(stddev_samp({value}), 4) AS "{name} Std"',
-        f'round(max({value}), 4) AS "{name} Max"', f'round(min({value}), 4) AS "{name} Min"',
+        f'round(avg({value}) {way}, 4) AS "{name} Mean"', f'round(stddev_samp({value}) {way}, 4) AS "{name} Std"',
+        f'round(max({value}) {way}, 4) AS "{name} Max"', f'round(min({value}) {way}, 4) AS "{name} Min"',
     ])
 
 
@@ -120,40 +125,40 @@ def _nulls(names, kind="DOUBLE") -> str:
 
 
 _S = "nullif((max(ts) - min(ts)), 0)"
-_SUB = "(count(*) FILTER (gap > 1000000) + 1)"
-
+_SUB = "CAST(count(*) FILTER (gap > 1000000) + 1 AS DOUBLE)"
+_N = {d: f"count(*) {way}" for d, way in _WAYS.items()}
+_TOTAL = {d: f"CAST(coalesce(sum(size) {way}, 0) AS BIGINT)" for d, way in _WAYS.items()}
+_SIZE = "CAST(size AS DOUBLE)"
 
 _VOLUME = f"""SELECT {_KEY}, dst_port AS "Destination Port", (max(ts) - min(ts)) * 1000000 AS "Flow Duration",
-  count(*) AS "Total Fwd Packets", CAST(0 AS BIGINT) AS "Total Backward Packets",
-  CAST(sum(size) AS BIGINT) AS "Total Length of Fwd Packets", CAST(0 AS BIGINT) AS "Total Length of Bwd Packets",
-  {_spread('CAST(size AS DOUBLE)', 'Fwd Packet Length')},
-  {_nulls([f'Bwd Packet Length {m}' for m in ('Max', 'Min', 'Mean', 'Std')])},
+  {_N['Fwd']} AS "Total Fwd Packets", {_N['Bwd']} AS "Total Backward Packets",
+  {_TOTAL['Fwd']} AS "Total Length of Fwd Packets", {_TOTAL['Bwd']} AS "Total Length of Bwd Packets",
+  {', '.join(_spread(_SIZE, f'{d} Packet Length', way) for d, way in _WAYS.items())},
   round(sum(size) / {_S}, 4) AS "Flow Bytes/s", round(count(*) / {_S}, 4) AS "Flow Packets/s",
-  round(count(*) / {_S}, 4) AS "Fwd Packets/s", round(0 / {_S}, 4) AS "Bwd Packets/s",
+  {', '.join(f'round({n} / {_S}, 4) AS "{d} Packets/s"' for d, n in _N.items())},
   CAST(min(size) AS DOUBLE) AS "Min Packet Length", CAST(max(size) AS DOUBLE) AS "Max Packet Length",
-  round(avg(size), 4) AS "Packet Length Mean", round(stddev_samp(CAST(size AS DOUBLE)), 4) AS "Packet Length Std",
-  round(stddev_samp(CAST(size AS DOUBLE)) * stddev_samp(CAST(size AS DOUBLE)), 4) AS "Packet Length Variance",
-  CAST(0 AS DOUBLE) AS "Down/Up Ratio", round(sum(size) / CAST(count(*) AS DOUBLE), 4) AS "Average Packet Size",
-  round(avg(size), 4) AS "Avg Fwd Segment Size", {_nulls(['Avg Bwd Segment Size'])},
-  round(count(*) / CAST({_SUB} AS DOUBLE), 4) AS "Subflow Fwd Packets",
-  round(sum(size) / CAST({_SUB} AS DOUBLE), 4) AS "Subflow Fwd Bytes",
-  CAST(0 AS DOUBLE) AS "Subflow Bwd Packets", CAST(0 AS DOUBLE) AS "Subflow Bwd Bytes"
+  round(avg(size), 4) AS "Packet Length Mean", round(stddev_samp({_SIZE}), 4) AS "Packet Length Std",
+  round(stddev_samp({_SIZE}) * stddev_samp({_SIZE}), 4) AS "Packet Length Variance",
+  round({_N['Bwd']} / CAST({_N['Fwd']} AS DOUBLE), 4) AS "Down/Up Ratio", round(sum(size) / CAST(count(*) AS DOUBLE), 4) AS "Average Packet Size",
+  {', '.join(f'round(avg(size) {way}, 4) AS "Avg {d} Segment Size"' for d, way in _WAYS.items())},
+  {', '.join(f'round({n} / {_SUB}, 4) AS "Subflow {d} Packets"' for d, n in _N.items())},
+  {', '.join(f'round({n} / {_SUB}, 4) AS "Subflow {d} Bytes"' for d, n in _TOTAL.items())}
 FROM flows GROUP BY {_KEY}"""
 
 
-@query("flow_volume_features", _FLOWS + "\n" + _VOLUME, ["packets"])
+@query("flow_volume_features", _FLOWS + "\n" + _VOLUME, ["two_way"])
 def _(spark, sf_dir):
-    return _rounded(L.flow_volume_features(packets(spark, sf_dir)))
+    return _rounded(L.flow_volume_features(two_way(spark, sf_dir)))
 
 
-_IAT = f"""SELECT {_KEY}, {_spread('gap', 'Flow IAT')}, round(sum(gap), 4) AS "Fwd IAT Total", {_spread('gap', 'Fwd IAT')},
-  {_nulls([f'Bwd IAT {m}' for m in ('Total', 'Mean', 'Std', 'Max', 'Min')])}
+_IAT = f"""SELECT {_KEY}, {_spread('gap', 'Flow IAT')},
+  {', '.join(f'round(sum(side_gap) {way}, 4) AS "{d} IAT Total", ' + _spread('side_gap', f'{d} IAT', way) for d, way in _WAYS.items())}
 FROM flows GROUP BY {_KEY}"""
 
 
-@query("flow_iat_features", _FLOWS + "\n" + _IAT, ["packets"])
+@query("flow_iat_features", _FLOWS + "\n" + _IAT, ["two_way"])
 def _(spark, sf_dir):
-    return _rounded(L.flow_iat_features(packets(spark, sf_dir)))
+    return _rounded(L.flow_iat_features(two_way(spark, sf_dir)))
 
 
 _BURSTS = f"""
@@ -163,33 +168,34 @@ _BURSTS = f"""
 _ACTIVE = f"""SELECT {_KEY}, {_spread('active', 'Active')}, {_spread('idle', 'Idle')} FROM bursts GROUP BY {_KEY}"""
 
 
-@query("flow_active_idle", _FLOWS + _BURSTS + "\n" + _ACTIVE, ["packets"])
+@query("flow_active_idle", _FLOWS + _BURSTS + "\n" + _ACTIVE, ["two_way"])
 def _(spark, sf_dir):
-    return _rounded(L.flow_active_idle(packets(spark, sf_dir), cfg=_CFG))
+    return _rounded(L.flow_active_idle(two_way(spark, sf_dir), cfg=_CFG))
 
 
-def _flag_count(bit: int) -> str:
-    return f"CAST(sum(CASE WHEN tcp_flags & {bit} > 0 THEN 1 ELSE 0 END) AS BIGINT)"
+def _flag_count(bit: int, way: str = "") -> str:
+    return f"CAST(sum(CASE WHEN tcp_flags & {bit} > 0 THEN 1 ELSE 0 END) {way} AS BIGINT)"
 
 
-@query("flow_header_features", f"""
-, tcp AS (SELECT *, least(src_ip, dst_ip) AS host_a, greatest(src_ip, dst_ip) AS host_b,
-  size % 256 AS tcp_flags, 20 + 4 * (size % 3) AS header_len, size * 7 AS win FROM packets)
-SELECT {_KEY}, {_flag_count(8)} AS "Fwd PSH Flags", {_flag_count(32)} AS "Fwd URG Flags",
-  CAST(sum(header_len) AS BIGINT) AS "Fwd Header Length", {_nulls(['Bwd Header Length'], 'BIGINT')},
+_FWD, _BWD = _WAYS.values()
+_HEADERS = f"""{_flag_count(8, _FWD)} AS "Fwd PSH Flags", {_flag_count(32, _FWD)} AS "Fwd URG Flags",
+  CAST(sum(header_len) {_FWD} AS BIGINT) AS "Fwd Header Length", CAST(sum(header_len) {_BWD} AS BIGINT) AS "Bwd Header Length",
   {', '.join(f'{_flag_count(bit)} AS "{flag} Flag Count"' for flag, bit in L.FLAG_BITS.items())},
-  CAST(sum(header_len) AS BIGINT) AS "Fwd Header Length.1",
-  first(win ORDER BY packet_no) AS "Init_Win_bytes_forward", {_nulls(['Init_Win_bytes_backward'], 'BIGINT')},
-  CAST(sum(CASE WHEN size > header_len THEN 1 ELSE 0 END) AS BIGINT) AS "act_data_pkt_fwd",
-  min(header_len) AS "min_seg_size_forward"
-FROM tcp GROUP BY {_KEY}""", ["packets"])
+  CAST(sum(header_len) {_FWD} AS BIGINT) AS "Fwd Header Length.1",
+  first(win ORDER BY packet_no) {_FWD} AS "Init_Win_bytes_forward", first(win ORDER BY packet_no) {_BWD} AS "Init_Win_bytes_backward",
+  CAST(sum(CASE WHEN size > header_len THEN 1 ELSE 0 END) {_FWD} AS BIGINT) AS "act_data_pkt_fwd",
+  min(header_len) {_FWD} AS min_seg_size_forward"""
+#: The packet record has no TCP fields; these are derived from the size.
+_TCP = ", tcp AS (SELECT *, size % 256 AS tcp_flags, 20 + 4 * (size % 3) AS header_len, size * 7 AS win FROM flows)"
+
+
+def _with_tcp(df):
+    return df.withColumns({"tcp_flags": F.col("size") % 256, "header_len": F.lit(20) + 4 * (F.col("size") % 3), "win": F.col("size") * 7})
+
+
+@query("flow_header_features", _FLOWS + _TCP + f"\nSELECT {_KEY}, {_HEADERS} FROM tcp GROUP BY {_KEY}", ["two_way"])
 def _(spark, sf_dir):
-    """The packet record has no TCP fields; these are derived from the size."""
-    return L.flow_header_features(packets(spark, sf_dir).withColumns({
-        "tcp_flags": F.col("size") % 256,
-        "header_len": F.lit(20) + 4 * (F.col("size") % 3),
-        "win": F.col("size") * 7,
-    }))
+    return L.flow_header_features(_with_tcp(two_way(spark, sf_dir)))
 
 
 _HEADER = [
@@ -201,10 +207,18 @@ _HEADER = [
 
 @query("flow_features", _FLOWS + _BURSTS + f"""
 , v AS ({_VOLUME}), i AS ({_IAT}), a AS ({_ACTIVE})
-SELECT *, {_nulls(_HEADER, 'BIGINT')} FROM v JOIN i USING ({_KEY}) JOIN a USING ({_KEY})""", ["packets"])
+SELECT *, {_nulls(_HEADER, 'BIGINT')} FROM v JOIN i USING ({_KEY}) JOIN a USING ({_KEY})""", ["two_way"])
 def _(spark, sf_dir):
     """All flow columns; the packet record has no TCP fields, so those are NULL."""
-    return _rounded(L.flow_features(packets(spark, sf_dir), cfg=_CFG))
+    return _rounded(L.flow_features(two_way(spark, sf_dir), cfg=_CFG))
+
+
+@query("flow_features_tcp", _FLOWS + _BURSTS + _TCP + f"""
+, v AS ({_VOLUME}), i AS ({_IAT}), a AS ({_ACTIVE}), h AS (SELECT {_KEY}, {_HEADERS} FROM tcp GROUP BY {_KEY})
+SELECT * FROM v JOIN i USING ({_KEY}) JOIN a USING ({_KEY}) JOIN h USING ({_KEY})""", ["two_way"])
+def _(spark, sf_dir):
+    """All flow columns with none of them NULL."""
+    return _rounded(L.flow_features(_with_tcp(two_way(spark, sf_dir)), cfg=_CFG))
 
 
 # -- bytes ------------------------------------------------------------------------------------

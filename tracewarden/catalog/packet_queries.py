@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tracewarden.catalog.registry import query
 from tracewarden.catalog.views import view
@@ -12,6 +11,7 @@ from tracewarden.operators import alerts as A
 from tracewarden.operators import classify as C
 from tracewarden.operators import running_features as R
 from tracewarden.operators import stats
+from tracewarden.schema import MODEL_COLUMNS, PACKET
 from tracewarden.session import new_folder
 from tracewarden.sources import packets as S
 
@@ -157,6 +157,29 @@ def _(spark, sf_dir):
     return S.packets_from_json(spark, folder, lines=True).drop("seq")
 
 
+@query("packet_scan_lines", _FILE, _PACKETS)
+def _(spark, sf_dir):
+    """The packets as JSON lines in a path that ends in ``.json``; the reader finds the form."""
+    folder = new_folder(spark, "packets") + ".json"
+    _as_file(spark, sf_dir).write.json(folder)
+    return S.packet_scan(spark, folder).drop("seq")
+
+
+@query("packet_json_array_scan", _FILE, _PACKETS)
+def _(spark, sf_dir):
+    """The packets as JSON arrays, each of them a line without an end."""
+    folder = new_folder(spark, "packets") + ".json"
+    rows = packets(spark, sf_dir).withColumn("file", F.col("packet_no") % 3)
+    # A file is written by one task, in order, and its elements are parted by what stands before each.
+    order = W.partitionBy("file").orderBy("packet_no")
+    text = F.concat(
+        F.when(F.lag("packet_no").over(order).isNull(), "[").otherwise(","),
+        F.to_json(F.struct(*[F.col("ts" if f.name == "timestamp" else f.name).alias(f.name) for f in PACKET])),
+        F.when(F.lead("packet_no").over(order).isNull(), "]").otherwise(""))
+    rows.select("file", text.alias("value")).write.partitionBy("file").option("lineSep", " ").text(folder)
+    return S.packet_scan(spark, folder).drop("seq")
+
+
 # -- alerts -----------------------------------------------------------------------------------
 
 
@@ -165,8 +188,8 @@ def alerts(spark, sf_dir):
 
 
 def _flat(df, *more):
-    return df.select("type", "severity", "detail", "ip", F.expr(f"seq DIV {A.RULES}").alias("packet_no"),
-                     (F.col("seq") % A.RULES).cast("bigint").alias("rule"), *more)
+    return df.select("type", "severity", "detail", "ip", F.col("seq.at").alias("packet_no"),
+                     F.col("seq.rule").cast("bigint").alias("rule"), *more)
 
 
 @query("packet_alerts", ALERTS + "\nSELECT type, severity, detail, ip, packet_no, rule FROM alerts", _PACKETS)
@@ -183,7 +206,7 @@ def _(spark, sf_dir):
         F.lit("OVERSIZED").alias("type"), F.lit("medium").alias("severity"),
         F.concat(F.lit("size "), F.col("size").cast("string")).alias("detail"),
         F.col("src_ip").alias("ip"),
-        (F.col("packet_no") * A.RULES + 1).alias("seq"))
+        A.alert_seq(F.col("packet_no"), 1).alias("seq"))
     return _flat(A.dedup(raised))
 
 
@@ -250,11 +273,32 @@ def _(spark, sf_dir):
     return fit.select(*[F.round(c, 6).alias(c) for c in fit.columns])
 
 
-@query("model_score", FEATURES + f"""
-SELECT packet_no, CAST(CASE WHEN {_ATTACK} THEN 1 ELSE 0 END AS DOUBLE) AS prediction FROM feats""", _PACKETS)
-def _(spark, sf_dir):
-    rule = SQLTransformer(statement=(
-        f"SELECT *, CASE WHEN {_ATTACK} THEN 1.0D ELSE 0.0D END AS prediction FROM __THIS__"))
+def _fitted(spark, sf_dir):
+    """A tree that learned the rule from labelled features, saved and loaded."""
+    labelled = features(spark, sf_dir).withColumn("label", C.is_attack(list(MODEL_COLUMNS)).cast("double"))
     folder = new_folder(spark, "model")
-    PipelineModel([rule]).save(folder)
-    return C.model_score(features(spark, sf_dir), C.load_model(spark, folder)).select("packet_no", "prediction")
+    C.fit_tree(labelled).save(folder)
+    return C.load_model(spark, folder)
+
+
+_SCORES = FEATURES + f"""
+SELECT packet_no, CAST(CASE WHEN {_ATTACK} THEN 1 ELSE 0 END AS DOUBLE) AS prediction FROM feats"""
+
+
+@query("model_score", _SCORES, _PACKETS)
+def _(spark, sf_dir):
+    """The fixture's rule is one that a tree can learn without a mistake."""
+    return C.model_score(features(spark, sf_dir), _fitted(spark, sf_dir)).select("packet_no", "prediction")
+
+
+@query("model_score_sql", _SCORES, _PACKETS)
+def _(spark, sf_dir):
+    """The same tree as a SQL expression, without vectors."""
+    rule = C.tree_sql(_fitted(spark, sf_dir))
+    return features(spark, sf_dir).select("packet_no", F.expr(rule).alias("prediction"))
+
+
+@query("model_alerts", ALERTS + "\nSELECT type, severity, detail, ip, packet_no, rule FROM alerts", _PACKETS)
+def _(spark, sf_dir):
+    """All packet rules, with the fitted model in place of the rule classifier."""
+    return _flat(A.packet_alerts(packets(spark, sf_dir), model=_fitted(spark, sf_dir)))

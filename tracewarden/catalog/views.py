@@ -62,6 +62,10 @@ SELECT event_id AS packet_no,
   CAST(40 + floor(value * 8) AS BIGINT) AS size,
   CAST(1704067200 + b * 3600 + s + (event_id % 32) / 32.0 AS DOUBLE) AS ts
 FROM base""",
+    "two_way": """
+SELECT packet_no, CASE WHEN packet_no % 3 = 1 THEN dst_ip ELSE src_ip END AS src_ip,
+  CASE WHEN packet_no % 3 = 1 THEN src_ip ELSE dst_ip END AS dst_ip, dst_port, protocol, size, ts
+FROM packets""",
     "edges": """
 SELECT concat(event_type, '-', user_id) AS src,
   concat(event_type, '-', CAST(floor(user_id / CASE WHEN k % 2 = 0 THEN 2 ELSE 3 END) AS BIGINT)) AS dst,
@@ -75,6 +79,7 @@ NEEDS = {
     "access_log_lines": ["base", "access_log"],
     "entries": ["base", "access_log"],
     "packets": ["base"],
+    "two_way": ["base", "packets"],
     "edges": ["base"],
 }
 

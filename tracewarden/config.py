@@ -28,11 +28,19 @@ class DetectionConfig:
     rate_window_s: int = 60
     rate_limit: int = 30
     failed_logins: int = 5
+    # Rule classifier, and the quantiles of its training step.
+    classifier_ports: float = 5
+    classifier_packets: float = 100
+    classifier_small_size: float = 100
+    classifier_small_packets: float = 20
+    fit_high_quantile: float = 0.95
+    fit_low_quantile: float = 0.05
     # Alerts.
     alert_history: int = 100
     dashboard_history: int = 200
     # Named feature sets.
     idle_gap_s: float = 5.0
+    subflow_gap_s: float = 1.0
     site_host: str = "example.com"
     # Streams.
     watermark: str = "2 minutes"

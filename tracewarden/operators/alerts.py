@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.functions.text import severity_rank
-from tracewarden.operators.classify import is_attack
+from tracewarden.operators.classify import is_attack, model_score
 from tracewarden.operators.running_features import alert_features, rate_windows
 from tracewarden.operators.stats import flow_totals
 from tracewarden.plans.skew import split_join
@@ -17,40 +17,44 @@ from tracewarden.schema import MODEL_COLUMNS
 SIGNATURE = ["type", "severity", "detail", "ip"]
 
 
-#: Rules are numbered below this, so that one BIGINT orders alerts by packet and then by rule.
-RULES = 8
+def alert_seq(at, rule: int):
+    """What orders alerts: the order key of the packet, then the number of the rule."""
+    return F.struct(at.alias("at"), F.lit(rule).alias("rule"))
 
 
-def _alert(rule: int, kind: str, severity: str, detail, at, numeric: bool):
-    seq = at * RULES + rule if numeric else F.struct(at.alias("at"), F.lit(rule).alias("rule"))
+def _alert(rule: int, kind: str, severity: str, detail, at):
     return F.struct(
         F.lit(kind).alias("type"),
         F.lit(severity).alias("severity"),
         detail.alias("detail"),
         F.col("src_ip").alias("ip"),
-        seq.alias("seq"),
+        alert_seq(at, rule).alias("seq"),
     )
 
 
-def _is_number(df: DataFrame, order: str) -> bool:
-    return isinstance(df.schema[order].dataType, T.IntegralType)
+def with_anomaly(features: DataFrame, cfg: DetectionConfig = DEFAULTS, model: PipelineModel | None = None) -> DataFrame:
+    """Features with ``_anomaly``: what the fitted model says, or the rule classifier where there is none."""
+    if model is None:
+        return features.withColumn("_anomaly", is_attack(list(MODEL_COLUMNS), cfg) == 1)
+    return model_score(features, model).withColumn("_anomaly", F.col("prediction") == 1).drop("prediction")
 
 
-def feature_alerts(features: DataFrame, order: str = "packet_no", cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+def feature_alerts(features: DataFrame, order: str = "packet_no", cfg: DetectionConfig = DEFAULTS,
+                   model: PipelineModel | None = None) -> DataFrame:
     """Alerts of the rules that look at one packet's features, in rule order."""
-    at, numeric = F.col(order), _is_number(features, order)
+    at, features = F.col(order), with_anomaly(features, cfg, model)
     text = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
     found = F.array(
         F.when(F.col("port_hits") > cfg.port_hits,
-               _alert(1, "PORT_SCAN", "high", text("Unusual port access: ", "dst_port"), at, numeric)),
+               _alert(1, "PORT_SCAN", "high", text("Unusual port access: ", "dst_port"), at)),
         F.when(F.col("unique_ports") >= cfg.ports_per_source,
-               _alert(3, "PORT_SCAN", "high", text("Unusual port access count: ", "unique_ports"), at, numeric)),
+               _alert(3, "PORT_SCAN", "high", text("Unusual port access count: ", "unique_ports"), at)),
         F.when(F.col("queue_length") >= cfg.volume_limit,
-               _alert(4, "DOS_ATTACK", "critical", text("High packet rate: ", "queue_length"), at, numeric)),
+               _alert(4, "DOS_ATTACK", "critical", text("High packet rate: ", "queue_length"), at)),
         F.when(F.col("packet_size") > cfg.max_packet_size,
-               _alert(5, "SUSPICIOUS_PACKET", "medium", text("Large packet size: ", "packet_size"), at, numeric)),
-        F.when(is_attack(list(MODEL_COLUMNS)) == 1,
-               _alert(6, "ML_ANOMALY", "high", F.lit("Machine learning model flagged anomaly"), at, numeric)),
+               _alert(5, "SUSPICIOUS_PACKET", "medium", text("Large packet size: ", "packet_size"), at)),
+        F.when(F.col("_anomaly"),
+               _alert(6, "ML_ANOMALY", "high", F.lit("Machine learning model flagged anomaly"), at)),
     )
     return features.select(F.inline(F.filter(found, lambda a: a.isNotNull())))
 
@@ -58,19 +62,21 @@ def feature_alerts(features: DataFrame, order: str = "packet_no", cfg: Detection
 def rate_alerts(packets: DataFrame, order: str = "packet_no", cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """One alert per time at which an address is over its rate, at the first packet of that time."""
     return rate_windows(packets, order, cfg).select(
-        _alert(2, "DOS_ATTACK", "critical", F.lit("High request rate detected"), F.col("first"),
-               _is_number(packets, order)).alias("a")
+        _alert(2, "DOS_ATTACK", "critical", F.lit("High request rate detected"), F.col("first")).alias("a")
     ).select("a.*")
 
 
 def dedup(alerts: DataFrame) -> DataFrame:
     """The first alert of each signature. A minimum per group: a hot signature combines map-side."""
-    return alerts.groupBy(*SIGNATURE).agg(F.min("seq").alias("seq"))
+    # Plain minima are hash aggregates; the order keys are compared whole when few rows are left.
+    firsts = alerts.groupBy(*SIGNATURE, F.col("seq.rule").alias("rule")).agg(F.min("seq.at").alias("at"))
+    return firsts.groupBy(*SIGNATURE).agg(F.min(F.struct("at", "rule")).alias("seq"))
 
 
-def packet_alerts(packets: DataFrame, order: str = "packet_no", cfg: DetectionConfig = DEFAULTS) -> DataFrame:
+def packet_alerts(packets: DataFrame, order: str = "packet_no", cfg: DetectionConfig = DEFAULTS,
+                  model: PipelineModel | None = None) -> DataFrame:
     """All packet rules, deduplicated."""
-    by_packet = feature_alerts(alert_features(packets, order, cfg), order, cfg)
+    by_packet = feature_alerts(alert_features(packets, order, cfg), order, cfg, model)
     return dedup(by_packet.unionByName(rate_alerts(packets, order, cfg)))
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 import warnings
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.schema import MODEL_COLUMNS
 from tracewarden.session import written_table
 
@@ -17,7 +20,7 @@ def model_input(features: DataFrame, order: str = "packet_no") -> DataFrame:
     return features.select(order, *[F.col(c).cast("double").alias(c) for c in MODEL_COLUMNS])
 
 
-def is_attack(inputs: list[str]) -> Column:
+def is_attack(inputs: list[str], cfg: DetectionConfig = DEFAULTS) -> Column:
     """1 or 0 from up to five input columns, in the order of ``MODEL_COLUMNS``.
 
     Missing trailing inputs count as 0. A value that is null or no number makes the result 0.
@@ -30,7 +33,8 @@ def is_attack(inputs: list[str]) -> Column:
     number += [F.lit(0.0)] * (5 - len(number))
     size, count, _, ports, _ = number
     above = lambda c, limit: (c > limit) & ~F.isnan(c)
-    attack = above(ports, 5) | above(count, 100) | ((size < 100) & above(count, 20))
+    attack = above(ports, cfg.classifier_ports) | above(count, cfg.classifier_packets) | (
+        (size < cfg.classifier_small_size) & above(count, cfg.classifier_small_packets))
     return F.when(bad, 0).when(attack, 1).otherwise(0)
 
 
@@ -106,21 +110,51 @@ def _value_at(values: DataFrame, low: float, high: float, rank: int) -> float:
     return low
 
 
-def fit_thresholds(labelled: DataFrame, inputs: list[str] | None = None, label: str = "label") -> DataFrame:
+def fit_thresholds(labelled: DataFrame, inputs: list[str] | None = None, label: str = "label",
+                   cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """Thresholds from the rows labelled 0; the classifier itself does not read them."""
     names = list(inputs or MODEL_COLUMNS)
     # Stored once: the percentiles take several passes, and features are costly to derive.
     normal = written_table(
         labelled.filter(F.col(label) == 0).select(*names[:3]), "normal-rows")
     row = (
-        exact_percentile(normal, names[0], 0.95),
-        exact_percentile(normal, names[1], 0.95),
-        exact_percentile(normal, names[2], 0.05),
+        exact_percentile(normal, names[0], cfg.fit_high_quantile),
+        exact_percentile(normal, names[1], cfg.fit_high_quantile),
+        exact_percentile(normal, names[2], cfg.fit_low_quantile),
     )
     return labelled.sparkSession.createDataFrame(
         [row], "connection_rate double, unique_ports double, avg_size double")
 
 
+#: Thresholds that a tree tries for each input; below so many distinct values it tries all.
+TREE_BINS = 1024
+
+
+def fit_tree(labelled: DataFrame, inputs: list[str] | None = None, label: str = "label", depth: int = 5) -> PipelineModel:
+    """A decision tree over numeric inputs, as a pipeline that can be saved. Rows with a null or NaN input aren't learned from, and
+    when scored they take the tree's way for NaN."""
+    names = list(inputs or MODEL_COLUMNS)
+    rows = labelled.select(*[F.col(c).cast("double").alias(c) for c in names], F.col(label).cast("double").alias(label))
+    assembler = VectorAssembler(inputCols=names, outputCol="model_inputs", handleInvalid="keep")
+    tree = DecisionTreeClassifier(featuresCol="model_inputs", labelCol=label, maxDepth=depth, maxBins=TREE_BINS, seed=7)
+    return Pipeline(stages=[assembler, tree]).fit(rows.dropna())
+
+
+def tree_sql(model: PipelineModel) -> str:
+    """The splits of a fitted tree as a SQL expression over its inputs, which is scored inside generated code."""
+    assembler, tree = model.stages
+    names = assembler.getInputCols()
+
+    def of(node) -> str:
+        if node.getClass().getSimpleName() == "LeafNode":
+            return f"{float(node.prediction())!r}D"
+        split = node.split()
+        test = f"CAST(`{names[split.featureIndex()]}` AS DOUBLE) <= {float(split.threshold())!r}D"
+        return f"CASE WHEN {test} THEN {of(node.leftChild())} ELSE {of(node.rightChild())} END"
+
+    return of(tree._java_obj.rootNode())
+
+
 def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
     """A saved Spark ML pipeline, or None where there is none."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -10,6 +10,7 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tracewarden.plans.skew import HOT_ROWS, hot_keys, split_join
 from tracewarden.session import cut_lineage
@@ -65,14 +66,16 @@ def edge_weight(probes: DataFrame, e: DataFrame) -> DataFrame:
         "weight", F.coalesce("weight", F.lit(0)).cast("bigint"))
 
 
-def degrees(e: DataFrame) -> DataFrame:
-    """``node, out_degree, in_degree, weight_out`` for every node, in one aggregation."""
+def degrees(e: DataFrame, isolated: DataFrame | None = None) -> DataFrame:
+    """``node, out_degree, in_degree, weight_out`` for every node, in one aggregation; ``isolated(node)`` adds nodes."""
     zero = F.lit(0).cast("bigint")
     one = F.lit(1).cast("bigint")
     ends = e.select(F.inline(F.array(
         F.struct(F.col("src").alias("node"), one.alias("o"), zero.alias("i"), F.col("weight").alias("w")),
         F.struct(F.col("dst").alias("node"), zero.alias("o"), one.alias("i"), zero.alias("w")),
     )))
+    if isolated is not None:
+        ends = ends.unionByName(isolated.select("node", zero.alias("o"), zero.alias("i"), zero.alias("w")))
     return ends.groupBy("node").agg(
         F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree"), F.sum("w").alias("weight_out"))
 
@@ -108,30 +111,37 @@ def _ranked_edges(e: DataFrame, n: DataFrame) -> DataFrame:
     return both.select("a", "b").filter(F.col("a") != F.col("b"))
 
 
+#: A level of a walk with so many nodes is numbered by one task; a larger one by ranges of its order.
+LEVEL_ROWS = 100_000
+
+
 def bfs(e: DataFrame, start: str) -> DataFrame:
-    """``node, depth, path_key`` of the nodes reachable from ``start``.
+    """``node, depth, rank`` of the nodes reachable from ``start``.
 
-    ``orderBy('depth', 'path_key')`` is the visiting order: inside a level a node comes at its
-    earliest parent, and under one parent in the order in which the edges were added. An unknown start
-    gives no rows.
+    ``orderBy('depth', 'rank')`` is the visiting order: inside a level a node comes at its earliest parent, and under one parent
+    in the order in which the edges were added. Ranks ascend in a level and need not be dense; a row stays three columns wide,
+    however deep the walk. Each level is a job. An unknown start gives no rows.
     """
     out = cut_lineage(e.select("src", "dst", "first_seq"))
     total = out.count()
     hot = cut_lineage(hot_keys(out, ["src"])) if total > HOT_ROWS else None
-    frontier = cut_lineage(nodes(e).filter(F.col("node") == start).select(
-        "node", F.lit(0).alias("depth"), F.array().cast("array<bigint>").alias("path_key")))
-    seen = frontier
+    zero = F.lit(0).cast("bigint")
+    frontier = cut_lineage(nodes(e).filter(F.col("node") == start).select("node", F.lit(0).alias("depth"), zero.alias("rank")))
+    seen, size = frontier, frontier.count()
     for depth in count(1):
-        if frontier.isEmpty():
+        if not size:
             return seen
         step = split_join(
-            out, frontier.select(F.col("node").alias("src"), "path_key"), ["src"], ["dst"],
-            hot=hot, total=total)
-        reached = step.groupBy(F.col("dst").alias("node")).agg(
-            F.min(F.concat("path_key", F.array("first_seq"))).alias("path_key"))
-        frontier = cut_lineage(
-            reached.join(seen.select("node"), "node", "left_anti")
-            .select("node", F.lit(depth).alias("depth"), "path_key"))
+            out, frontier.select(F.col("node").alias("src"), F.col("rank").alias("parent")), ["src"], ["dst"], hot=hot, total=total)
+        reached = step.groupBy(F.col("dst").alias("node")).agg(F.min(F.struct("parent", "first_seq")).alias("at"))
+        found = cut_lineage(reached.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
+        size = found.count()
+        if size <= LEVEL_ROWS:
+            frontier = found.select("node", "depth", F.row_number().over(W.orderBy("at")).cast("bigint").alias("rank"))
+        else:
+            # Numbers that ascend over the ranges and inside each; kept, since they depend on how the ranges fell.
+            ranges = found.repartitionByRange("at").sortWithinPartitions("at")
+            frontier = cut_lineage(ranges.select("node", "depth", F.monotonically_increasing_id().alias("rank")))
         seen = seen.unionByName(frontier)
         if depth % 16 == 0:
             seen = cut_lineage(seen)
@@ -246,17 +256,18 @@ def _small_star(links: DataFrame, total: int) -> DataFrame:
     ))).filter(F.col("low") < F.col("high")).distinct()
 
 
-def graph_statistics(e: DataFrame, components: DataFrame | None = None) -> DataFrame:
-    """One row. ``edges`` counts the edges as added, repeats included. No row for an empty graph."""
-    parts = components_directed(e) if components is None else components
+def graph_statistics(e: DataFrame, components: DataFrame | None = None, isolated: DataFrame | None = None) -> DataFrame:
+    """One row. ``edges`` counts the edges as added, repeats included; ``isolated(node, first_seq)`` adds nodes without edges. An
+    empty graph has 0 nodes and 0 edges, and its other values are NULL."""
+    parts = components_directed(e, isolated) if components is None else components
     count = parts.agg(F.count_distinct("component").alias("n")).scalar()
     calls = "calls" if "calls" in e.columns else "weight"
     added = e.agg(F.coalesce(F.sum(calls), F.lit(0)).alias("n")).scalar()
-    return degrees(e).agg(
+    return degrees(e, isolated).agg(
         F.count(F.lit(1)).alias("nodes"),
         added.alias("edges"),
         F.avg("out_degree").alias("avg_degree"),
         F.max("out_degree").alias("max_degree"),
         F.min("out_degree").alias("min_degree"),
         count.alias("components"),
-    ).filter(F.col("nodes") > 0)
+    ).withColumn("components", F.when(F.col("nodes") > 0, F.col("components")))
