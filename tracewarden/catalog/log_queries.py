@@ -407,7 +407,8 @@ def _(spark, sf_dir):
 
 @query("detect_all", _THREATS + f"\nSELECT {_OUT} FROM threats", _ENTRIES)
 def _(spark, sf_dir):
-    return _out(rules.detect_all(entries(spark, sf_dir)))
+    """The rules on a stored table, as they ask for."""
+    return _out(rules.detect_all(written_table(entries(spark, sf_dir), "entries")))
 
 
 @query("static_analysis", _PARSED + _PARSED_THREATS + f"\nSELECT {_OUT} FROM threats", _LINES)

@@ -10,9 +10,9 @@ from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.functions.text import severity_rank
 from tracewarden.operators.classify import is_attack, model_score
 from tracewarden.operators.running_features import alert_features, rate_windows
-from tracewarden.operators.stats import flow_totals
-from tracewarden.plans.skew import split_join
+from tracewarden.plans.skew import rows_of_keys
 from tracewarden.schema import MODEL_COLUMNS
+from tracewarden.session import written_table
 
 SIGNATURE = ["type", "severity", "detail", "ip"]
 
@@ -97,16 +97,14 @@ def alert_origin(alerts: DataFrame, packets: DataFrame) -> DataFrame:
     Items: ``packets`` (count), ``port`` (each observed port, with its packets) and ``flow``
     (bytes to each destination). Rows instead of lists, since one scanner can reach any number of hosts.
     """
-    addresses = alerts.select("ip").filter(F.col("ip").isNotNull()).distinct()
-    # Aggregates first: the semi join then works on totals, not on packets.
-    ports = packets.groupBy(F.col("src_ip").alias("ip"), "dst_port").agg(F.count(F.lit(1)).alias("value"))
-    flows = flow_totals(packets)
-    rows = ports.groupBy("ip").agg(F.sum("value").alias("value")).select(
-        "ip", F.lit("packets").alias("item"), F.lit("").alias("key"), "value"
-    ).unionByName(ports.select(
-        "ip", F.lit("port").alias("item"), F.col("dst_port").cast("string").alias("key"), "value"
-    )).unionByName(flows.select(
-        F.col("src_ip").alias("ip"), F.lit("flow").alias("item"),
-        F.col("dst_ip").alias("key"), F.col("bytes").alias("value")
-    ))
-    return split_join(rows, addresses, ["ip"], ["item", "key"], "left_semi")
+    addresses = written_table(alerts.select("ip").filter(F.col("ip").isNotNull()).distinct(), "alert-addresses")
+    # Ports and flows in one pass; the semi join then works on totals, not on packets.
+    totals = packets.withColumnRenamed("src_ip", "ip").groupingSets([["ip", "dst_port"], ["ip", "dst_ip"]], "ip", "dst_port", "dst_ip").agg(
+        (F.grouping_id() == 1).alias("of_port"), F.count(F.lit(1)).alias("packets"), F.sum("size").alias("bytes"))
+    found = rows_of_keys(totals, addresses, ["ip"]).select(
+        "ip", F.when(F.col("of_port"), "port").otherwise("flow").alias("item"),
+        F.when(F.col("of_port"), F.col("dst_port").cast("string")).otherwise(F.col("dst_ip")).alias("key"),
+        F.when(F.col("of_port"), F.col("packets")).otherwise(F.col("bytes")).alias("value"))
+    found = written_table(found, "alert-origins")
+    return found.unionByName(found.filter(F.col("item") == "port").groupBy("ip").agg(F.sum("value").alias("value")).select(
+        "ip", F.lit("packets").alias("item"), F.lit("").alias("key"), "value"))

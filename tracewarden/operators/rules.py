@@ -16,7 +16,7 @@ from tracewarden.operators.entries import failed_logins, requests_per_second
 from tracewarden.plans.skew import rows_of_keys
 from tracewarden.plans.sliding import trailing_counts
 from tracewarden.plans.topk import first_k, k_smallest
-from tracewarden.session import cut_lineage
+from tracewarden.session import cut_lineage, written_table
 
 
 def _threat(rule_ord, kind, severity, source, description, evidence, timestamp, seq) -> list[Column]:
@@ -123,7 +123,8 @@ def matched_pattern(threats: DataFrame, patterns) -> DataFrame:
 
 def _found(groups: DataFrame, rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     groups = cut_lineage(groups)
-    return groups, rows_of_keys(rows, groups, keys)
+    # Stored: evidence and first entries are both taken from them.
+    return groups, written_table(rows_of_keys(rows, groups, keys), "found-rows")
 
 
 def _first_entry(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -165,7 +166,7 @@ def scanner_addresses(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> Da
 
 def scanner_entries(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:
     """All entries of scanner addresses."""
-    return _found(scanner_addresses(entries, cfg), entries, ["ip"])[1]
+    return rows_of_keys(entries, cut_lineage(scanner_addresses(entries, cfg)), ["ip"])
 
 
 def port_scan(entries: DataFrame, cfg: DetectionConfig = DEFAULTS) -> DataFrame:

@@ -10,6 +10,7 @@ from tracewarden.operators.entries import with_failed_flag
 from tracewarden.plans.running import Previous, RunningDistinct, RunningSum, with_running
 from tracewarden.plans.skew import hot_of_counts, split_join
 from tracewarden.plans.sliding import trailing_counts
+from tracewarden.session import written_table
 
 
 def _one():
@@ -111,7 +112,8 @@ def rate_limited(packets: DataFrame, order: str = "packet_no", cfg: DetectionCon
     Event time, both ends included; packets with equal time count for each other.
     """
     keys = ["src_ip", "ts"]
-    over = rate_windows(packets, order, cfg)
+    # Stored: the hot times are taken from it, and then it is joined.
+    over = written_table(rate_windows(packets, order, cfg), "rate-windows")
     total = packets.agg(F.count(F.lit(1)).alias("n")).scalar()
     hot = hot_of_counts(over.select(*keys, F.col("at_time").alias("_n")), keys, total)
     return split_join(packets, over.select(*keys, "in_window"), keys, [order], hot=hot)

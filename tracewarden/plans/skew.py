@@ -77,7 +77,7 @@ def rows_of_keys(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFra
     A small table is broadcast, so that only the matching rows go on. Beyond the limits the join
     shuffles, with hot keys split.
     """
-    width = sum((F.length(F.col(k).cast("string")) for k in keys), F.lit(0))
+    width = sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(0))
     size = groups.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
     side = groups.select(*keys)
     if size["n"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES:
