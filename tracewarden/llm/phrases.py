@@ -1,13 +1,13 @@
 """Phrase collocations, counted by a multikey three-way quicksort of suffix pointers.
 
 A suffix is what follows a word of a piece, at most as many words as a phrase may have. The leading words are counted globally: first
-words, then pairs of frequent words, then, by a table of counters, three words of two frequent pairs. Suffixes that don't begin with
-three such words are abandoned there, and a suffix ends where the next three words are infrequent, since a phrase is never more frequent than
-its parts. The others are routed by their leading pair, or by one more word for as long as that prefix is hot, so a group of any size
+words, then pairs of frequent words, then, by tables of counters, chains of three words and more that frequent pairs link. Suffixes that
+don't begin with three such words are abandoned there, and a suffix ends where the next word would make a chain in it infrequent, since
+a phrase is never more frequent than its parts. The others are routed by their leading pair, or by one more word for as long as that prefix is hot, so a group of any size
 is split. Inside a task, pointers to the suffixes of complete groups are parted by their word at one depth into smaller, equal and
 larger; the weight of the equal part is the count of its phrase, and parts below the least count are abandoned with all that is in them.
 
-What tasks know of frequent words, pairs and triples is one bit of a table of fixed size each: what is let through by mistake costs
+What tasks know of frequent words, pairs and chains is one bit of a table of fixed size each: what is let through by mistake costs
 time and is counted exactly later.
 """
 
@@ -33,7 +33,7 @@ BUFFER = 4 << 20
 VOCABULARY_BYTES = 48 << 20
 #: Bits of the tables of frequent words and pairs: 2 MB each, whatever the data.
 BITS = 24
-#: Counters for triples, as a power of two, and the counters in a row; a task sends a byte for each, or four for large least counts.
+#: Counters for chains of one size, as a power of two, and the counters in a row; a task sends a byte for each, or four for large least counts.
 SKETCH, SKETCH_ROW = 22, 1 << 12
 #: Rows that a task gathers from complete groups before it sorts them.
 GROUP_ROWS = 1 << 19
@@ -158,27 +158,34 @@ def _pairs(vocabulary: Vocabulary, ids: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([langs, phrases, pa.array(n)], ["lang", "phrase", "f"])
 
 
-def _linked(vocabulary: Vocabulary, ids: np.ndarray, pair_bits: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where three words begin that are linked by frequent pairs, and the hashes of the three."""
+def _chains(vocabulary: Vocabulary, ids: np.ndarray, pair_bits: bytes, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 3 words and more, up to ``longest``: where so many words begin that are linked by frequent pairs, and their hashes."""
     hashes = np.frombuffer(vocabulary.hashes, np.uint64)
     left, right = ids[:-1], ids[1:]
-    link = np.zeros(len(ids), dtype=bool)
+    link = np.zeros(len(ids) + longest, dtype=bool)
     both = np.flatnonzero((left > 0) & (right > 0))
-    link[both] = _has(pair_bits, _pair_hash(hashes[left[both]], hashes[right[both]]))
-    starts = np.flatnonzero(link[:-1] & link[1:])
-    return starts, _pair_hash(_pair_hash(hashes[ids[starts]], hashes[ids[starts + 1]]), hashes[ids[starts + 2]])
-
-
-def _triple_bits(docs: DataFrame, word_bits: bytes, pair_bits: bytes, least: int) -> bytes:
-    """A bit for each counter of triples that reaches ``least``. A counter that tasks share is the sum of theirs, which stop at ``least``."""
-    kind = np.uint8 if least < 256 else np.uint32
+    pair = _pair_hash(hashes[left[both]], hashes[right[both]])
+    keep = _has(pair_bits, pair)
+    starts, found = both[keep], pair[keep]
+    link[starts] = True
+    for size in range(3, longest + 1):
+        more = link[starts + size - 2]
+        starts = starts[more]
+        found = _pair_hash(found[more], hashes[ids[starts + size - 1]])
+        yield starts, found
+
+
+def _chain_bits(docs: DataFrame, word_bits: bytes, pair_bits: bytes, least: int, longest: int) -> list[bytes]:
+    """For chains of 3 words up to ``longest``, a bit for each counter that reaches ``least``. A counter is the sum of those of the tasks,
+    which stop at ``least``."""
+    kind, sizes = np.uint8 if least < 256 else np.uint32, max(0, longest - 2)
 
     def start():
-        counters = np.zeros(1 << SKETCH, dtype=np.int64)
+        counters = np.zeros((sizes, 1 << SKETCH), dtype=np.int32)
 
         def emit(vocabulary: Vocabulary, ids: np.ndarray) -> None:
-            _, hashes = _linked(vocabulary, ids, pair_bits)
-            np.add(counters, np.bincount((hashes >> np.uint64(64 - SKETCH)).astype(np.int64), minlength=len(counters)), out=counters)
+            for row, (_, hashes) in zip(counters, _chains(vocabulary, ids, pair_bits, longest)):
+                np.add(row, np.bincount((hashes >> np.uint64(64 - SKETCH)).astype(np.int64), minlength=len(row)), out=row, casting="unsafe")
 
         def finish() -> pa.RecordBatch:
             rows = np.minimum(counters, least).astype(kind).reshape(-1, SKETCH_ROW)
@@ -199,24 +206,29 @@ def _triple_bits(docs: DataFrame, word_bits: bytes, pair_bits: bytes, least: int
              pa.array([np.packbits(c >= least, bitorder="little").tobytes() for c in sums.values()], pa.binary())], ["row", "bits"])
 
     rows = _scanned(docs, word_bits, "row bigint, counters binary", start)
-    table = bytearray((1 << SKETCH) // 8)
+    size = SKETCH_ROW // 8
+    tables = [bytearray((1 << SKETCH) // 8) for _ in range(sizes)]
     # A bit for each counter reaches the driver.
     for row in rows.repartition("row").mapInArrow(total, "row bigint, bits binary").collect():
-        table[row["row"] * SKETCH_ROW // 8:(row["row"] + 1) * SKETCH_ROW // 8] = row["bits"]
-    return bytes(table)
+        table, at = divmod(row["row"], (1 << SKETCH) // SKETCH_ROW)
+        tables[table][at * size:(at + 1) * size] = row["bits"]
+    return [bytes(t) for t in tables]
 
 
-def _suffixes(pair_bits: bytes, triple_bits: bytes, depth: int) -> Callable:
-    """Distinct suffixes of at least three words, linked by frequent triples, with their number."""
+def _suffixes(pair_bits: bytes, chain_bits: list[bytes], depth: int) -> Callable:
+    """Distinct suffixes of at least three words without an infrequent chain in them, with their number."""
     def emit(vocabulary: Vocabulary, ids: np.ndarray) -> pa.RecordBatch:
-        starts, hashes = _linked(vocabulary, ids, pair_bits)
-        starts = starts[_has(triple_bits, hashes, SKETCH)]
-        triple = np.zeros(len(ids) + depth, dtype=bool)
-        triple[starts] = True
+        frequent = []
+        for bits, (at, hashes) in zip(chain_bits, _chains(vocabulary, ids, pair_bits, len(chain_bits) + 2)):
+            frequent.append(np.zeros(len(ids) + depth, dtype=bool))
+            frequent[-1][at[_has(bits, hashes, SKETCH)]] = True
+        starts = np.flatnonzero(frequent[0])
         padded = np.concatenate([ids, np.zeros(depth, np.uint32)]).astype(np.int64)
         columns, linked = [padded[starts + d] for d in range(3)], np.ones(len(starts), dtype=bool)
         for d in range(3, depth):
-            linked = linked & triple[starts + d - 2]
+            for size, known in enumerate(frequent, 3):
+                if d >= size - 1:
+                    linked = linked & known[starts + d - size + 1]
             columns.append(np.where(linked, padded[starts + d], 0))
         # Exact numbers of equal suffixes, one word after the other.
         code, first, n = columns[0], np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
@@ -349,7 +361,7 @@ def _routed(suffixes: DataFrame, pairs: DataFrame, total: int, depth: int, least
 
 
 def phrase_counts(docs: DataFrame, least: int = 100, longest: int = 5, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """``lang, phrase, size, f`` of all phrases of 1 to ``longest`` (at least 3) words with ``least`` occurrences or more, and ``lang, n``, the
+    """``lang, phrase, size, f`` of all phrases of 1 to ``longest`` (at least 4) words with ``least`` occurrences or more, and ``lang, n``, the
     number of all words. Both are stored tables."""
     docs = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     plain = "lang string, phrase string, f bigint"
@@ -362,7 +374,7 @@ def phrase_counts(docs: DataFrame, least: int = 100, longest: int = 5, hot: int
     pairs = written_table(summed(_scanned(docs, word_bits, plain, lambda: (_pairs, _nothing))).filter(F.col("f") >= least), "phrase-pairs")
     pair_bits = _bit_table(pairs, True)
     suffixes = _scanned(docs, word_bits, "lang string, words array<string>, f bigint",
-                        _suffixes(pair_bits, _triple_bits(docs, word_bits, pair_bits, least), longest))
+                        _suffixes(pair_bits, _chain_bits(docs, word_bits, pair_bits, least, longest - 1), longest))
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     rows, known = _routed(suffixes, pairs, total, longest, least, hot)
     keyed = rows.select("lang", _prefix(F.col("routed")).alias("key"), "routed", "words", "f")
