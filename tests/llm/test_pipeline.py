@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.test_quality import slow as slow_measures
 from tests.llm.test_repeats import slow as slow_repeats
-from tests.llm.test_simhash import slow_components, slow_fingerprint
+from tests.llm.test_similar import slow_keep
 from tracewarden.llm import simhash
 from tracewarden.session import written_table
 
@@ -51,8 +51,8 @@ def test_language_keeps_all_clear_texts(stages):
 
 def test_one_of_each_component(stages):
     before, after = rows(stages[2]), rows(stages[3])
-    least = slow_components([r[0] for r in before], [slow_fingerprint(r[1]) for r in before])
-    assert after == sorted((r for r, c in zip(before, least) if r[0] == c), key=str)
+    kept, pairs = slow_keep([(r[0], r[1]) for r in before])
+    assert pairs > 0 and after == [r for r in before if r[0] in set(kept)]
     assert len(after) < len(before)
 
 
