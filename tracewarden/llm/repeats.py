@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewarden.llm.words import RollingHash, free_name, hashes_of, per_document, texts
+from tracewarden.llm.words import SLICE_ROWS, RollingHash, free_name, hashes_of, per_document, texts
 from tracewarden.plans.skew import rows_of_keys
 from tracewarden.session import written_table
 
@@ -71,7 +71,7 @@ def _keyed(docs: DataFrame, name: str = "__key") -> DataFrame:
 def _seeds(docs: DataFrame, width: int) -> DataFrame:
     """``key, anchor, content, start, windows`` for all segments of all rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part.slice(at, SLICE_ROWS) for part in batches for at in range(0, part.num_rows, SLICE_ROWS)):
             parts, counts = [], []
             for text in texts(batch):
                 found = segments((text or b"").split(), width)
@@ -88,22 +88,29 @@ def _seeds(docs: DataFrame, width: int) -> DataFrame:
     return keyed.mapInArrow(run, "key binary, anchor bigint, content bigint, start bigint, windows bigint")
 
 
+def _windows(out: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    if out[0]:
+        yield pa.RecordBatch.from_arrays([_long(np.concatenate(x)) for x in out], ["anchor", "content", "place", "window"])
+
+
 def _extended(docs: DataFrame, unlike: DataFrame, width: int) -> DataFrame:
     """``anchor, content, place, window``: the windows of one occurrence of each segment of ``unlike``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[], [], [], []]
+            out, rows = [[], [], [], []], 0
             for text, wanted in zip(texts(batch), batch.column(1)):
                 hashes = RollingHash(hashes_of(text.split())).windows(width)
+                if rows >= CHUNK:
+                    yield from _windows(out)
+                    out, rows = [[], [], [], []], 0
                 for s in wanted.as_py():
+                    rows += s["windows"]
                     some = _mixed(hashes[s["start"]:s["start"] + s["windows"]])
                     out[0].append(np.full(len(some), s["anchor"], dtype=np.int64))
                     out[1].append(np.full(len(some), s["content"], dtype=np.int64))
                     out[2].append(np.arange(len(some)))
                     out[3].append(some)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [_long(np.concatenate(x)) for x in out], ["anchor", "content", "place", "window"])
+            yield from _windows(out)
 
     wanted = unlike.groupBy(F.col("at.key").alias("__key")).agg(
         F.collect_list(F.struct("anchor", "content", "at.start", "windows")).alias("wanted"))

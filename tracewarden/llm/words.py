@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 
 #: Entries that a per-process memo may hold before it starts anew; it only saves time.
 MEMO_ENTRIES = 700_000
+#: Documents that are worked on at once.
+SLICE_ROWS = 1024
 #: Base of the rolling hashes modulo 2**64 (odd, hence invertible).
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -34,7 +36,8 @@ class Memo(dict):
         return value
 
 
-word_hash = Memo(xxhash.xxh64_intdigest)
+#: Hashing a word anew is cheap, so fewer are remembered.
+word_hash = Memo(xxhash.xxh64_intdigest, 250_000)
 
 
 def hashes_of(words: list[bytes]) -> np.ndarray:
@@ -96,9 +99,10 @@ def per_document(docs: DataFrame, columns: list[str], schema: str, make: Callabl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                made = make(batch)
-                arrays = [batch.column(i) for i in range(len(columns))]
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                made = make(part)
+                arrays = [part.column(i) for i in range(len(columns))]
                 yield pa.RecordBatch.from_arrays(
                     arrays + [v if isinstance(v, pa.Array) else pa.array(v) for v in made.values()], columns + list(made))
 
