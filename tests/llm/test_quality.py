@@ -69,3 +69,57 @@ def test_judged(spark):
     assert none.filter("quality.kept").count() == 900 + 60 + 5 - 1
     assert quality.keep_good(docs.limit(0), labels).collect() == []
     assert quality.keep_good(docs, labels).columns == docs.columns
+
+
+def slow_judged(rows, labels):
+    """``doc_id, kept`` of rows ``doc_id, text, lang``, by counting for each stratum, rule and cutoff in turn."""
+    table = []
+    for doc, text, lang in rows:
+        m = dict(zip(quality.METRICS, slow(text)))
+        failed = m["n_words"] < 10 or 100 * m["n_repeat_words"] > 20 * m["n_words"]
+        table.append((doc, lang, failed, {r: m[a] / max(m[b], 1) for r, (a, b) in quality.RULES.items()}))
+    known = {}
+    for doc, lang, failed, values in table:
+        for d, q in labels:
+            if d == doc and doc is not None and q is not None and not failed:
+                known.setdefault(lang, []).append((q == 1, values))
+    limits = {}
+    for lang, found in known.items():
+        for rule in quality.RULES:
+            n, best = sum(good for good, _ in found), None
+            for cutoff in quality.CUTOFFS:
+                above = [good for good, values in found if values[rule] > cutoff]
+                lost, share = sum(above), Fraction(quality.RISK / len(quality.RULES))
+                tail = sum(comb(n, i) * share**i * (1 - share) ** (n - i) for i in range(lost + 1))
+                if tail > quality.DELTA / (len(known) * len(quality.RULES)):
+                    break
+                value = len(above) - lost - quality.GOOD_WEIGHT * lost
+                if value > 0 and (best is None or value > best[0]):
+                    best = value, cutoff
+            if best:
+                limits[lang, rule] = best[1]
+    return [(doc, not failed and not any(values[r] > limits.get((lang, r), 9) for r in quality.RULES)) for doc, lang, failed, values in table]
+
+
+def test_kept_equals_a_plain_count(spark):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    shout, marks = words.upper(), words.replace(" ", " ## ")
+    rows, labels = [], []
+    for lang, bad, n in (("", shout, 900), (None, marks, 900), ("de", shout, 60), ("null", marks, 30)):
+        for i in range(n):
+            rows.append((len(rows), f"{words} {i}", lang))
+            labels.append((rows[-1][0], 1))
+        for i in range(20):
+            rows.append((len(rows), f"{bad} {i}", lang))
+            labels.append((rows[-1][0], 0))
+        # Not labelled, and bad in another stratum's way.
+        rows += [(len(rows) + k, f"{t} 7", lang) for k, t in enumerate((shout, marks))]
+    rows += [(rows[0][0], rows[0][1], ""), (None, f"{marks} 1", None)]
+    labels += [(5, None), (7, 0), (7, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    found = quality.judged(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    got = Counter((r.doc_id, r.quality.kept) for r in found.collect())
+    want = slow_judged(rows, labels)
+    assert got == Counter(want)
+    gone = {(lang, "##" in text) for (_, text, lang), (_, kept) in zip(rows, want) if not kept}
+    assert gone == {("", False), (None, True)}

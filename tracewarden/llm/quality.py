@@ -150,7 +150,9 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: Column | None = None, na
     """
     docs = docs.select(*[c for c in docs.columns if c != name])
     stratum_name, limits = free_name(docs, "stratum"), free_name(docs, "cutoffs")
-    layer = F.coalesce((F.col("lang") if stratum is None else stratum).cast("string"), F.lit(""))
+    layer = (F.col("lang") if stratum is None else stratum).cast("string")
+    # Names that a join can match, the null stratum's unlike all others.
+    layer = F.coalesce(F.concat(F.lit("="), layer), F.lit("null"))
     holdout = labels.filter(F.col("quality").isNotNull()).select("doc_id", (F.col("quality") == 1).cast("int").alias("good"))
     # Measured before the join, so that it moves numbers, not texts.
     numbers = measured(docs.select("doc_id", "text", layer.alias("stratum")), columns=["doc_id", "stratum"])
