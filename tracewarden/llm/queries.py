@@ -41,7 +41,19 @@ def op5_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query
+@oracle(r"""
+WITH numbered AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+placed AS (SELECT r, words, unnest(range(1, len(words) + 1)) AS i FROM numbered),
+passages AS (SELECT r, i, words[i] AS word,
+  CASE WHEN i + 34 <= len(words) THEN array_to_string(words[i:i + 34], ' ') END AS passage FROM placed),
+again AS (SELECT passage FROM passages WHERE passage IS NOT NULL GROUP BY passage HAVING count(*) > 1),
+marked AS (SELECT p.r, p.i, p.word, a.passage IS NOT NULL AS starts FROM passages p LEFT JOIN again a ON a.passage = p.passage),
+judged AS (SELECT r, i, word, coalesce(max(CASE WHEN starts THEN i END) OVER (PARTITION BY r ORDER BY i) >= i - 34, false) AS gone FROM marked),
+kept AS (SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+  string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text FROM judged GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM numbered LEFT JOIN kept k USING (r)""")
 def op3_substring_dedup(spark, sf_dir):
     found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "repeats.n_words", "repeats.n_removed",
