@@ -3,16 +3,18 @@
 import csv
 import json
 import os
+from collections import Counter
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from tracewarden.catalog import stream_queries
 from tracewarden import session
 from tracewarden.config import DEFAULTS
 from tracewarden.operators import alerts as A
 from tracewarden.operators import running_features as R
-from tracewarden.sources.packets import packet_stream
+from tracewarden.sources.packets import _csv_stream, packet_stream
 from tracewarden.streaming import jobs as J
 from tracewarden.streaming.runtime import drain, drained, gathered, reset, table_stream
 
@@ -252,3 +254,26 @@ def test_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.shared_folder(Cluster)
+
+
+def test_a_csv_file_is_split_once_and_a_line_parsed_once(spark, tmp_path):
+    """The rows of a file once split its whole text again, for each use of each cell of its first line."""
+    (tmp_path / "a.csv").write_text("size,src_ip,dst_ip,dst_port,protocol,timestamp\r\n7,a,b,80,TCP,1.5\r\n\r\n9,c,\"d,e\",81,UDP,2\n")
+    files = spark.read.text(str(tmp_path), wholetext=True).withColumn("path", F.lit("p"))
+    rows = _csv_stream(files).select("pos", "packet.*")
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, "a", "b", 80, "TCP", 7, 1.5), (3, "c", "d,e", 81, "UDP", 9, 2.0)]
+    plan = rows.filter("protocol = 'TCP'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(value") == 1 and plan.count("from_csv(") == 2
+
+
+def test_stretches_of_a_large_table_are_several_files_each(spark, monkeypatch):
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", 10)
+    monkeypatch.setattr(stream_queries, "BATCH_FILES", 3)
+    parts, each = stream_queries._parts(spark.range(5, 155).withColumnRenamed("id", "k"), "k")
+    assert (len(parts), each) == (6, 3)
+    rows = [(i, r.file, r.k) for i, p in enumerate(parts) for r in p.select("k", F.spark_partition_id().alias("file")).collect()]
+    files = Counter((i, file) for i, file, _ in rows)
+    assert [k for *_, k in rows] == list(range(5, 155)) and len(files) == 18 and max(files.values()) <= 10
+    few, one = stream_queries._parts(spark.range(8).withColumnRenamed("id", "k"), "k")
+    assert (len(few), one) == (4, 1)
+    assert stream_queries._parts(spark.range(0).withColumnRenamed("id", "k"), "k") == ([], 1)
