@@ -148,3 +148,14 @@ def test_trailing_counts_of_a_hot_minute_are_spread(spark):
     assert got.count() == n and bad.count() == 0
     rows = df.groupBy(F.floor(F.col("t") * BUCKETS_A_SECOND)).count().agg(F.max("count")).first()[0]
     assert rows == 4000 / BUCKETS_A_SECOND
+
+
+@pytest.mark.parametrize("key", ["no", "struct(path, block, pos)"])
+def test_tasks_of_running_values_grow_with_the_chunks(spark, key):
+    """A task held as many chunks as there were more of them than shuffle partitions, and sorted them all at once."""
+    df = spark.range(1000).selectExpr(
+        "id AS no", "'f' AS path", "0L AS block", "id AS pos", "id % 7 AS a", "id % 3 AS b").withColumn("at", F.expr(key))
+    specs = [RunningSum("n", ("a",), F.lit(1).cast("bigint")), RunningSum("m", ("a", "b"), F.col("no")), RunningSum("all", (), F.lit(1).cast("bigint"))]
+    got = with_running(df, "at", specs, width=10)
+    assert got.rdd.getNumPartitions() == 200
+    assert all(r.n == r.no // 7 + 1 and r["all"] == r.no + 1 and r.m == sum(range(r.no % 21, r.no + 1, 21)) for r in got.collect())

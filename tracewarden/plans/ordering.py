@@ -36,12 +36,19 @@ def scan_key() -> Column:
 
 @dataclass(frozen=True)
 class Chunks:
-    """How an order key is cut: by ``width``, or where ``bounds`` are given into the ranges between them, each in ``parts``."""
+    """How an order key is cut: by ``width``, or where ``bounds`` are given into the ranges between them, each in ``parts``.
+    ``rows`` is the number of rows that it was found for."""
 
     width: int
     struct: bool
     bounds: tuple[int, ...] = ()
     parts: int = 1
+    rows: int = 0
+
+    def tasks(self, least: int) -> int | None:
+        """Tasks that leave each of them a chunk or a few, where that takes more than ``least``."""
+        wanted = 2 * -(-self.rows // self.width)
+        return wanted if wanted > least else None
 
     def of(self, key: Column) -> Column:
         """The chunk of a row with that key; chunks sort in the same order as the rows."""
@@ -71,16 +78,16 @@ class Chunks:
 def chunks_of(df: DataFrame, order: str, width: int = CHUNK_ROWS) -> Chunks:
     """Chunks of about ``width`` rows for the values of ``order``.
 
-    Unless the key is a struct, one pass takes its extent. Where it has more than ``SPARSE`` values a row, a second one takes
+    One pass counts the rows and, unless the key is a struct, takes its extent. Where it has more than ``SPARSE`` values a row, a second one takes
     approximate quantiles, at most ``RANGES`` of them: the only values of the data that reach the driver.
     """
     if isinstance(df.schema[order].dataType, T.StructType):
-        return Chunks(width, True)
+        return Chunks(width, True, rows=df.count())
     low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
     if not n or high - low <= SPARSE * max(n, width):
-        return Chunks(width, False)
+        return Chunks(width, False, rows=n)
     ranges = min(RANGES, -(-n // width))
     at = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
     inner = df.agg(F.percentile_approx(order, at, 10 * RANGES)).first()[0] if ranges > 1 else []
     bounds = sorted({low, *inner})
-    return Chunks(width, False, (*bounds, high + 1), max(1, -(-n // (width * ranges))))
+    return Chunks(width, False, (*bounds, high + 1), max(1, -(-n // (width * ranges))), n)

@@ -5,7 +5,8 @@ sorts everything in one task. Here rows are cut into chunks of bounded size. Wha
 know about the chunks before it is a small aggregate (partial sums combine map-side); it enters the
 chunk as one leading *carry* row, so a plain window inside the chunk gives the global answer.
 
-All specs of one call share one exchange of the rows, on the chunk.
+All specs of one call share one exchange of the rows, on the chunk. It has more tasks where there are more chunks, since a task
+sorts all that it holds once for each set of keys.
 """
 
 from __future__ import annotations
@@ -88,7 +89,11 @@ def _before_all(source: DataFrame, order: str, chunks: Chunks, sums, lasts) -> D
     )
 
 
-def _before_keys(source: DataFrame, order: str, sets) -> DataFrame:
+def _exchanged(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    return df.repartition(*keys) if tasks is None else df.repartition(tasks, *keys)
+
+
+def _before_keys(source: DataFrame, order: str, sets, tasks: int | None = None) -> DataFrame:
     """Per chunk and key, sums and last values over all earlier chunks; one aggregate for all sets of keys, ``(keys, sums, lasts)``."""
     columns = list(dict.fromkeys(k for keys, _, _ in sets for k in keys))
     sums, lasts = [n for s in sets for n in s[1]], [n for s in sets for n in s[2]]
@@ -104,6 +109,9 @@ def _before_keys(source: DataFrame, order: str, sets) -> DataFrame:
         bit = {c: 2 << i for i, c in enumerate(reversed(columns))}
         number = {n: sum(b for c, b in bit.items() if c not in keys) for keys, a, b_ in sets for n in (*a, *b_)}
         owned = lambda n, value: F.when(F.col("_set") == number[n], value)
+    if tasks is not None:
+        # In place of the exchange that the window makes.
+        per_chunk = _exchanged(per_chunk, tasks, *(c for c in per_chunk.columns if c in ("_set", *columns)))
     return per_chunk.select(
         *columns, "_chunk", *[owned(n, _total(n, w)).alias(n) for n in sums], *[owned(n, _last(n, w)).alias(n) for n in lasts])
 
@@ -120,6 +128,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def with_running(df: DataFrame, order: str, specs, width: int = CHUNK_ROWS, chunks: Chunks | None = None) -> DataFrame:
     """Add one column per spec. ``order`` must be unique per row. ``chunks`` spares a look at its values."""
     chunks = chunks or chunks_of(df, order, width)
+    tasks = chunks.tasks(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sums = [s for s in specs if isinstance(s, RunningSum)]
     distincts = [s for s in specs if isinstance(s, RunningDistinct)]
     lasts = [s for s in specs if isinstance(s, Previous)]
@@ -153,9 +162,9 @@ def with_running(df: DataFrame, order: str, specs, width: int = CHUNK_ROWS, chun
         inputs = [n for _, a, b in sets for n in (*a, *b) if n in rows.columns]
         own = [firsts[s.name] for s in distincts if s.keys]
         source = _union([rows.select(*columns, order, "_chunk", *inputs), *own])
-        parts.append(_before_keys(source, order, sets).withColumn("_rank", F.lit(0)))
+        parts.append(_before_keys(source, order, sets, tasks).withColumn("_rank", F.lit(0)))
 
-    merged = _union(parts).repartition("_chunk")
+    merged = _exchanged(_union(parts), tasks, "_chunk")
 
     def frame(keys):
         # Carry rows have a null order key and so come first.
