@@ -6,6 +6,9 @@ import os
 from collections import Counter
 from dataclasses import replace
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from tracewarden.operators import alerts as A
 from tracewarden.operators import running_features as R
 from tracewarden.sources.packets import _csv_stream, packet_stream
 from tracewarden.streaming import jobs as J
+from tracewarden.streaming import slots
 from tracewarden.streaming.runtime import drain, drained, gathered, reset, table_stream
 
 SCHEMA = "packet_no long, src_ip string, dst_ip string, dst_port int, protocol string, size long, ts double"
@@ -277,3 +281,70 @@ def test_stretches_of_a_large_table_are_several_files_each(spark, monkeypatch):
     few, one = stream_queries._parts(spark.range(8).withColumnRenamed("id", "k"), "k")
     assert (len(few), one) == (4, 1)
     assert stream_queries._parts(spark.range(0).withColumnRenamed("id", "k"), "k") == ([], 1)
+
+
+class _Map(dict):
+    def getValue(self, key):
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def iterator(self):
+        return iter(self.items())
+
+
+class _Value:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class _Handle:
+    getValueState = staticmethod(lambda name, schema: _Value())
+    getMapState = staticmethod(lambda name, key, value: _Map())
+
+
+def test_parts_of_a_slot_double_with_its_keys():
+    parts = slots.Parts(_Handle, {"t": pa.schema([("place", pa.int64()), ("n", pa.int64())])}).open()
+    for first in range(0, 1000, 100):
+        places = (np.arange(first, first + 100) << 20) + 7
+        new = pd.concat([parts.read("t", parts.of(places)), pd.DataFrame({"place": places, "n": np.arange(first, first + 100)})])
+        parts.write("t", new)
+        parts.add(100)
+    assert parts.size.get() == (1000, 4) and len(parts.maps["t"]) <= 16
+    rows = parts.read("t", np.arange(16))
+    assert sorted(rows["n"]) == list(range(1000)) and (rows["place"] == rows["n"] * (1 << 20) + 7).all()
+
+
+def test_runs_of_a_slot_keep_the_rows_of_a_key_together():
+    frames = [pd.DataFrame({"place": [i % 5, 9, 9, 9], "ts": [10 - i, i, i, i]}) for i in range(10)]
+    runs = list(slots.slot_runs(iter(frames), ["ts"], 12))
+    assert [len(r) for r in runs] == [18, 22]
+    assert set(runs[0]["place"]) == {9} and sorted(runs[-1]["place"])[:10] == sorted([*range(5)] * 2)
+    assert all(r["ts"].is_monotonic_increasing for r in runs)
+
+
+def test_many_keys_are_few_calls(spark, tmp_path):
+    """A call of Python for each key and batch took most of the time."""
+    folder = str(tmp_path / "in")
+    rows = [(i, f"h{i * 7 % 900}", f"d{i % 2}", 100 + i % 3, "TCP", 40 + i, 1000.0 + i / 512) for i in range(4000)]
+    for n, (a, b) in enumerate(((0, 1500), (1500, 4000))):
+        write(spark, folder, rows[a:b], f"b{n}")
+    batch, packets = spark.createDataFrame(rows, SCHEMA), source(spark, folder)
+    low = replace(DEFAULTS, rate_limit=2)
+    for streamed, want, columns in (
+        (J.stream_packet_features(packets), R.packet_features(batch), ("packet_no", "packet_count_ip", "unique_ports")),
+        (J.stream_flow_bytes(packets), R.flow_bytes(batch), ("packet_no", "flow_bytes")),
+        (J.stream_rate_limit(packets, low), R.rate_limited(batch, "packet_no", low), ("packet_no", "in_window")),
+    ):
+        assert "[slot#" in streamed._jdf.queryExecution().analyzed().toString()
+        plain = lambda df: sorted(tuple(r) for r in df.select(*columns).collect())
+        assert plain(drained(streamed, "many")) == plain(want)

@@ -1,7 +1,8 @@
 """Streaming forms of the packet and log operators.
 
 ``order`` names the packets' order key, ``packet_no`` or the ``seq`` of :func:`tracewarden.sources.packets.packet_stream`. State per
-address is kept only for what a running value needs. A group is handled in runs of bounded size. Windowed jobs run in append mode: a
+address is kept only for what a running value needs. Features, flow bytes and the rate limit
+handle the keys of a slot together (:mod:`tracewarden.streaming.slots`). A group is handled in runs of bounded size. Windowed jobs run in append mode: a
 window appears once, when the watermark has passed its end; rows later than the watermark are dropped by Spark and counted by
 :mod:`tracewarden.streaming.runtime`. Features, flow bytes and the rate limit have a watermark only where ``idle_state_s`` is set,
 and otherwise count every row, however late.
@@ -13,19 +14,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tracewarden.config import DEFAULTS, DetectionConfig
 from tracewarden.operators.alerts import with_anomaly
 from tracewarden.plans.sliding import BUCKETS_A_SECOND
-
-#: Rows of a group that a stateful function sorts at once. A larger group is handled in runs of so many, in the order of arrival.
-RUN_ROWS = 1 << 18
-
+from tracewarden.streaming.slots import RUN_ROWS, Slotted, codes, place, slot
 
 def _field(packets: DataFrame, order: str) -> str:
     return f"`{order}` {packets.schema[order].dataType.simpleString()}"
@@ -36,13 +34,6 @@ def _with_event_time(packets: DataFrame, cfg: DetectionConfig) -> DataFrame:
     return timed.withWatermark("event_time", cfg.watermark)
 
 
-def _running(packets: DataFrame, cfg: DetectionConfig) -> tuple[DataFrame, str]:
-    """Packets with ``event_time`` and the timeout of their state: without ``idle_state_s`` nothing ends, so nothing is too late."""
-    if cfg.idle_state_s is None:
-        return packets.withColumn("event_time", F.timestamp_seconds("ts")), GroupStateTimeout.NoTimeout
-    return _with_event_time(packets, cfg), GroupStateTimeout.EventTimeTimeout
-
-
 def late_packets(packets: DataFrame, written: DataFrame, order: str = "packet_no") -> DataFrame:
     """The rows of a table of ``packets`` that have no row in what a stream of running values has ``written``, with their
     ``late_rows`` number: those behind the watermark, once the stream has read all of the table."""
@@ -50,13 +41,6 @@ def late_packets(packets: DataFrame, written: DataFrame, order: str = "packet_no
     return late.crossJoin(F.broadcast(late.agg(F.count(F.lit(1)).alias("late_rows"))))
 
 
-def _keep(state: GroupState, value: tuple, last_ts: float, idle_s: float | None) -> None:
-    """Update the state; it goes when the watermark is ``idle_s`` past its last row, or never."""
-    state.update(value)
-    if idle_s is not None:
-        state.setTimeoutTimestamp(int((last_ts + idle_s) * 1000))
-
-
 def _seconds(interval: str) -> float:
     """Seconds of an interval like ``2 minutes``."""
     number, unit = interval.split()
@@ -78,73 +62,59 @@ def _runs(frames: Iterator[pd.DataFrame], order: list[str]) -> Iterator[pd.DataF
         yield (pd.concat(waiting, ignore_index=True) if len(waiting) > 1 else waiting[0]).sort_values(order, ignore_index=True)
 
 
-class _Expiring(StatefulProcessor):
-    """State per key that a timer ends ``idle_s`` after its last row, in event time; it stays, if that is None."""
-
-    def __init__(self, idle_s: float | None):
-        self.idle_s = idle_s
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-
-    def _touch(self, last_ts: float) -> None:
-        if self.idle_s is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(int((last_ts + self.idle_s) * 1000))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.forget()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-class _Features(_Expiring):
-    """Count, last time, and the ports seen as bits, 256 to an entry: a batch reads and writes the entries of its own ports only."""
-
-    def __init__(self, order: str, idle_s: float | None):
-        super().__init__(idle_s)
-        self.order = ["ts", order]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.totals = handle.getValueState("totals", "packets long, ports long, last_ts double")
-        self.ports = handle.getMapState("ports", "block int", "bits binary")
-
-    def forget(self) -> None:
-        self.totals.clear()
-        self.ports.clear()
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        packets, ports, last_ts = self.totals.get() if self.totals.exists() else (0, 0, None)
-        blocks: dict[int, int] = {}
-        before = {}
-        for run in _runs(rows, self.order):
-            # A missing port is one of its own, as in a table of distinct values.
-            port = run["dst_port"].fillna(-1).astype("int64").to_numpy()
-            new = np.zeros(len(run), dtype=bool)
-            for at in np.unique(port, return_index=True)[1]:
-                block, bit = int(port[at]) >> 8, 1 << (int(port[at]) & 255)
-                if block not in blocks:
-                    stored = self.ports.getValue((block,)) if self.ports.containsKey((block,)) else None
-                    before[block] = blocks[block] = int.from_bytes(stored[0], "little") if stored else 0
-                if not blocks[block] & bit:
-                    blocks[block] |= bit
-                    new[at] = True
-            ts = run["ts"].to_numpy()
-            run["time_delta"] = np.diff(ts, prepend=ts[0] if last_ts is None else last_ts)
-            run["packet_count_ip"] = packets + np.arange(1, len(run) + 1)
-            run["unique_ports"] = ports + new.cumsum()
-            packets, ports, last_ts = packets + len(run), ports + int(new.sum()), float(ts[-1])
-            yield run.drop(columns="event_time")
-        for block, bits in blocks.items():
-            if bits != before[block]:
-                self.ports.updateValue((block,), (bits.to_bytes(32, "little"),))
-        if last_ts is not None:
-            self.totals.update((packets, ports, last_ts))
-            self._touch(last_ts)
+def _slots(packets: DataFrame, columns: list, keys: list[str], processor: Slotted, out: str, cfg: DetectionConfig, order: str) -> DataFrame:
+    """Rows of ``columns`` through the stateful ``processor``: by slots of ``keys``, or by the keys themselves where their state ends."""
+    idle = cfg.idle_state_s is not None
+    timed = _with_event_time(packets, cfg) if idle else packets
+    rows = timed.select(*columns, *(["event_time"] if idle else []), place(*keys).alias("place"))
+    grouped = rows.groupBy(*keys) if idle else rows.withColumn("slot", slot(F.col("place"))).groupBy("slot")
+    return grouped.transformWithStateInPandas(
+        processor, f"{_field(packets, order)}, {out}", "Append", "EventTime" if idle else "None")
+
+
+class _Features(Slotted):
+    """Count, last time, and the ports seen as bits, 256 to a row."""
+
+    tables = {
+        "totals": pa.schema([("src_ip", pa.string()), ("place", pa.int64()), ("packets", pa.int64()), ("ports", pa.int64()), ("last_ts", pa.float64())]),
+        "ports": pa.schema([("src_ip", pa.string()), ("place", pa.int64()), ("block", pa.int64()), ("bits", pa.binary())]),
+    }
+
+    def run(self, rows: pd.DataFrame) -> pd.DataFrame:
+        touched = self.parts.of(rows["place"])
+        totals, seen = self.parts.read("totals", touched), self.parts.read("ports", touched)
+        (key, old, owner), names = codes(rows["src_ip"], totals["src_ip"], seen["src_ip"])
+        places, packets, ports = (np.zeros(len(names), dtype=np.int64) for _ in range(3))
+        last = np.full(len(names), np.nan)
+        places[key], places[old] = rows["place"], totals["place"]
+        packets[old], ports[old], last[old] = totals["packets"], totals["ports"], totals["last_ts"]
+        # A missing port is one of its own, as in a table of distinct values.
+        port = rows["dst_port"].fillna(-1).astype("int64").to_numpy()
+        first = np.unique(key << 32 | port + (1 << 31), return_index=True)[1]
+        block, bit = port[first] >> 8, port[first] & 255
+        entry, at = np.unique(np.concatenate([owner << 32 | seen["block"].to_numpy() + (1 << 31), key[first] << 32 | block + (1 << 31)]),
+                              return_inverse=True)
+        bits = np.zeros((len(entry), 32), dtype=np.uint8)
+        bits[at[:len(seen)]] = np.frombuffer(b"".join(seen["bits"]), dtype=np.uint8).reshape(-1, 32)
+        at, mask = at[len(seen):], (1 << (bit & 7)).astype(np.uint8)
+        new = np.zeros(len(rows), dtype=np.int64)
+        new[first] = (bits[at, bit >> 3] & mask) == 0
+        np.bitwise_or.at(bits, (at, bit >> 3), mask)
+        ts, number = rows["ts"].to_numpy(), rows.groupby(key).cumcount().to_numpy()
+        before = rows["ts"].groupby(key).shift().to_numpy()
+        before = np.where(number > 0, before, last[key])
+        found = rows.drop(columns=["place", "slot", "event_time"], errors="ignore").assign(
+            time_delta=ts - np.where(np.isnan(before), ts, before), packet_count_ip=packets[key] + number + 1,
+            unique_ports=ports[key] + pd.Series(new).groupby(key).cumsum().to_numpy())
+        packets += np.bincount(key, minlength=len(names))
+        np.add.at(ports, key, new)
+        last[key] = ts
+        self.parts.write("totals", pd.DataFrame({"src_ip": names, "place": places, "packets": packets, "ports": ports, "last_ts": last}))
+        owner = entry >> 32
+        self.parts.write("ports", pd.DataFrame({
+            "src_ip": names[owner], "place": places[owner], "block": (entry & ((1 << 32) - 1)) - (1 << 31), "bits": [b.tobytes() for b in bits]}))
+        self.parts.add(len(names) - len(totals))
+        return found
 
 
 def stream_packet_features(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
@@ -153,106 +123,117 @@ def stream_packet_features(packets: DataFrame, cfg: DetectionConfig = DEFAULTS,
     The delta is per address: a global one would need a single task. Needs the RocksDB state store, which
     :mod:`tracewarden.streaming.runtime` sets.
     """
-    timed = _with_event_time(packets, cfg) if cfg.idle_state_s is not None else _running(packets, cfg)[0]
-    rows = timed.select(order, "ts", "src_ip", "dst_ip", "dst_port", "protocol", F.col("size").alias("packet_size"), "event_time")
-    return rows.groupBy("src_ip").transformWithStateInPandas(
-        _Features(order, cfg.idle_state_s),
-        f"{_field(packets, order)}, ts double, src_ip string, dst_ip string, dst_port int, protocol string, packet_size long, "
-        "time_delta double, packet_count_ip long, unique_ports long",
-        "Append", "None" if cfg.idle_state_s is None else "EventTime")
+    columns = [order, "ts", "src_ip", "dst_ip", "dst_port", "protocol", F.col("size").alias("packet_size")]
+    return _slots(packets, columns, ["src_ip"], _Features(["ts", order], cfg.idle_state_s),
+                  "ts double, src_ip string, dst_ip string, dst_port int, protocol string, packet_size long, "
+                  "time_delta double, packet_count_ip long, unique_ports long", cfg, order)
+
+
+class _Flows(Slotted):
+    """Bytes of each flow."""
+
+    tables = {"flows": pa.schema([("src_ip", pa.string()), ("dst_ip", pa.string()), ("place", pa.int64()), ("total", pa.int64())])}
+
+    def run(self, rows: pd.DataFrame) -> pd.DataFrame:
+        flows = self.parts.read("flows", self.parts.of(rows["place"]))
+        (src, old_src), sources = codes(rows["src_ip"], flows["src_ip"])
+        (dst, old_dst), targets = codes(rows["dst_ip"], flows["dst_ip"])
+        pairs, at = np.unique(np.concatenate([src, old_src]) * len(targets) + np.concatenate([dst, old_dst]), return_inverse=True)
+        key, old = at[:len(rows)], at[len(rows):]
+        places, total = np.zeros(len(pairs), dtype=np.int64), np.zeros(len(pairs), dtype=np.int64)
+        places[key], places[old], total[old] = rows["place"], flows["place"], flows["total"]
+        # A packet of unknown size adds nothing and has no value.
+        unknown = rows["size"].isna()
+        size = rows["size"].fillna(0).astype("int64")
+        summed = total[key] + size.groupby(key).cumsum()
+        np.add.at(total, key, size.to_numpy())
+        self.parts.write("flows", pd.DataFrame({
+            "src_ip": sources[pairs // len(targets)], "dst_ip": targets[pairs % len(targets)], "place": places, "total": total}))
+        self.parts.add(len(pairs) - len(flows))
+        summed = summed.astype("Int64").mask(unknown) if unknown.any() else summed
+        return rows[[self.order[1], "ts", "src_ip", "dst_ip"]].assign(flow_bytes=summed)
 
 
 def stream_flow_bytes(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
     """Running bytes per flow. A stream of its own, keyed by the pair: a host that reaches many others
     is many small states, not a large one."""
-    idle_s = cfg.idle_state_s
+    return _slots(packets, [order, "ts", "src_ip", "dst_ip", "size"], ["src_ip", "dst_ip"], _Flows(["ts", order], cfg.idle_state_s),
+                  "ts double, src_ip string, dst_ip string, flow_bytes long", cfg, order)
 
-    def per_flow(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        total = state.get[0] if state.exists else 0
-        for run in _runs(frames, ["ts", order]):
-            run["flow_bytes"] = total + run["size"].cumsum()
-            total = int(run["flow_bytes"].iloc[-1])
-            _keep(state, (total,), run["ts"].iloc[-1], idle_s)
-            yield run[[order, "ts", "src_ip", "dst_ip", "flow_bytes"]]
 
-    timed, timeout = _running(packets, cfg)
-    rows = timed.select(order, "ts", "src_ip", "dst_ip", "size", "event_time")
-    return rows.groupBy("src_ip", "dst_ip").applyInPandasWithState(
-        per_flow, f"{_field(packets, order)}, ts double, src_ip string, dst_ip string, flow_bytes long", "total long", "append", timeout)
+#: Buckets whose times are kept together.
+TIME_BLOCK = 64
 
 
-class _RateLimit(_Expiring):
+class _RateLimit(Slotted):
     """Times of an address with their counts, in buckets of a quarter of a second: totals of all buckets that a window can still
-    reach, and the times of each bucket as an entry of its own. A batch reads the buckets that it adds to and those that its windows
-    begin in; whole buckets between are sums of totals."""
+    reach, and the times of ``TIME_BLOCK`` buckets as an entry of its own. A batch reads the times of the buckets that it adds to and of
+    those that its windows begin in; whole buckets between are totals."""
+
+    tables = {
+        "totals": pa.schema([("src_ip", pa.string()), ("place", pa.int64()), ("bucket", pa.int64()), ("n", pa.int64())]),
+        "times": pa.schema([("src_ip", pa.string()), ("place", pa.int64()), ("bucket", pa.int64()), ("ts", pa.float64()), ("n", pa.int64())]),
+    }
 
     def __init__(self, order: str, cfg: DetectionConfig):
-        super().__init__(cfg.idle_state_s)
-        self.order, self.cfg = order, cfg
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.totals = handle.getMapState("totals", "bucket long", "n long")
-        self.times = handle.getMapState("times", "bucket long", "ts array<double>, n array<long>")
-
-    def forget(self) -> None:
-        self.totals.clear()
-        self.times.clear()
-
-    def _load(self, known: dict, totals: dict, bucket: int) -> tuple[np.ndarray, np.ndarray]:
-        if bucket not in known:
-            found = self.times.getValue((bucket,)) if bucket in totals else ([], [])
-            known[bucket] = np.array(found[0], dtype=float), np.array(found[1], dtype=np.int64)
-        return known[bucket]
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        width = self.cfg.rate_window_s * BUCKETS_A_SECOND
+        super().__init__(["ts", order], cfg.idle_state_s)
+        self.cfg = cfg
+
+    def run(self, rows: pd.DataFrame) -> pd.DataFrame:
+        window, width = self.cfg.rate_window_s, self.cfg.rate_window_s * BUCKETS_A_SECOND
         reach = width + int(_seconds(self.cfg.watermark) * BUCKETS_A_SECOND)
-        totals = {b[0]: n[0] for b, n in self.totals.iterator()}
-        stored, known, touched, last = set(totals), {}, set(), None
-        for run in _runs(rows, ["ts", self.order]):
-            newest = max(totals, default=None)
-            ts, n = np.unique(run["ts"].to_numpy(), return_counts=True)
-            bucket = np.floor(ts * BUCKETS_A_SECOND).astype(np.int64)
-            for b in np.unique(bucket).tolist():
-                old, counts = self._load(known, totals, b)
-                here = bucket == b
-                merged, at = np.unique(np.concatenate([old, ts[here]]), return_inverse=True)
-                known[b] = merged, np.bincount(at, np.concatenate([counts, n[here]])).astype(np.int64)
-                totals[b] = int(known[b][1].sum())
-                touched.add(b)
-            buckets = np.array(sorted(totals))
-            sums = np.concatenate([[0], np.cumsum([totals[b] for b in buckets.tolist()])])
-            found = sums[np.searchsorted(buckets, bucket)] - sums[np.searchsorted(buckets, bucket - width, side="right")]
-            for b in np.unique(bucket).tolist():
-                here = np.flatnonzero(bucket == b)
-                times, counts = known[b]
-                found[here] += np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(times, ts[here], side="right")]
-                times, counts = self._load(known, totals, b - width)
-                below = np.concatenate([[0], np.cumsum(counts)])
-                found[here] += below[-1] - below[np.searchsorted(times, ts[here] - self.cfg.rate_window_s, side="left")]
-            at = np.searchsorted(ts, run["ts"].to_numpy())
-            run["in_window"] = found[at]
+        ts = rows["ts"].to_numpy()
+        bucket = np.floor(ts * BUCKETS_A_SECOND).astype(np.int64)
+        part = self.parts.of(rows["place"])
+        totals = self.parts.read("totals", part)
+        old_part, old_block = self.parts.of(totals["place"]), totals["bucket"].to_numpy() // TIME_BLOCK
+        stored = pd.MultiIndex.from_arrays([old_part, old_block]).unique()
+        needed = pd.MultiIndex.from_arrays([np.concatenate([part, part]), np.concatenate([bucket, bucket - width]) // TIME_BLOCK]).unique()
+        needed = needed[needed.isin(stored)]
+        times = self.parts.read("times", *(needed.get_level_values(i).to_numpy() for i in range(2)))
+        (key, old, owner), names = codes(rows["src_ip"], totals["src_ip"], times["src_ip"])
+        # Buckets that are gone may have left times in an entry.
+        old_at = pd.MultiIndex.from_arrays([old, totals["bucket"]])
+        live = pd.MultiIndex.from_arrays([owner, times["bucket"]]).isin(old_at)
+        times, owner = times[live], owner[live]
+        places, newest = np.zeros(len(names), dtype=np.int64), np.full(len(names), np.iinfo(np.int64).min // 2)
+        places[key], places[old] = rows["place"], totals["place"]
+        np.maximum.at(newest, old, totals["bucket"].to_numpy())
+
+        # Of a bucket whose times were not read no window has an end: its packets may as well be at its beginning.
+        whole = ~pd.MultiIndex.from_arrays([old_part, old_block]).isin(needed)
+        who = np.concatenate([key, owner, old[whole], key, key])
+        when = np.concatenate([ts, times["ts"], totals["bucket"].to_numpy()[whole] / BUCKETS_A_SECOND, ts, ts - window])
+        packets = np.concatenate([np.ones(len(rows), dtype=np.int64), times["n"], totals["n"].to_numpy()[whole], np.zeros(2 * len(rows), dtype=np.int64)])
+        # A window's end comes after packets of that time, its beginning before them.
+        kind = np.zeros(len(who), dtype=np.int8)
+        kind[len(who) - 2 * len(rows):len(who) - len(rows)], kind[len(who) - len(rows):] = 1, -1
+        order = np.lexsort((kind, when, who))
+        sums = np.empty(len(who), dtype=np.int64)
+        sums[order] = np.cumsum(packets[order])
+        found = rows[[self.order[1], "ts", "src_ip"]].assign(
+            in_window=sums[len(who) - 2 * len(rows):len(who) - len(rows)] - sums[len(who) - len(rows):],
             # Their windows reach back to buckets that may be gone.
-            run["late"] = (bucket < newest - (reach - width))[at] if newest is not None else False
-            last = float(ts[-1]) if last is None else max(last, float(ts[-1]))
-            for b in [b for b in totals if b < max(totals) - reach]:
-                del totals[b]
-                known.pop(b, None)
-                touched.discard(b)
-            yield run.loc[(run["in_window"] > self.cfg.rate_limit) | run["late"], [self.order, "ts", "src_ip", "in_window", "late"]]
-        for b in touched:
-            times, counts = known[b]
-            self.totals.updateValue((b,), (totals[b],))
-            self.times.updateValue((b,), (times.tolist(), counts.tolist()))
-        for b in stored - set(totals):
-            self.totals.removeKey((b,))
-            self.times.removeKey((b,))
-        if last is not None:
-            self._touch(last)
+            late=bucket < newest[key] - (reach - width))
+
+        np.maximum.at(newest, key, bucket)
+        kept = pd.DataFrame({"at": np.concatenate([key, old]), "bucket": np.concatenate([bucket, totals["bucket"]]),
+                             "n": np.concatenate([np.ones(len(rows), dtype=np.int64), totals["n"]])})
+        kept = kept[kept["bucket"].to_numpy() >= newest[kept["at"]] - reach].groupby(["at", "bucket"], as_index=False)["n"].sum()
+        at = kept["at"].to_numpy()
+        self.parts.write("totals", kept.assign(src_ip=names[at], place=places[at]))
+        added = pd.MultiIndex.from_arrays([part, bucket // TIME_BLOCK]).unique()
+        again = pd.DataFrame({"at": np.concatenate([key, owner]), "bucket": np.concatenate([bucket, times["bucket"]]), "ts": np.concatenate([ts, times["ts"]]),
+                              "n": np.concatenate([np.ones(len(rows), dtype=np.int64), times["n"]])})
+        again = again[again["bucket"].to_numpy() >= newest[again["at"]] - reach].groupby(["at", "bucket", "ts"], as_index=False)["n"].sum()
+        at, block = again["at"].to_numpy(), again["bucket"].to_numpy() // TIME_BLOCK
+        mine = pd.MultiIndex.from_arrays([self.parts.of(places[at]), block]).isin(added)
+        self.parts.write("times", again.assign(src_ip=names[at], place=places[at])[mine], block[mine])
+        left = pd.MultiIndex.from_arrays([self.parts.of(places[kept["at"]]), kept["bucket"] // TIME_BLOCK])
+        for gone in stored[~stored.isin(left)]:
+            self.parts.remove("times", *map(int, gone))
+        self.parts.add(len(names) - len(np.unique(old)))
+        return found[(found["in_window"] > self.cfg.rate_limit) | found["late"]]
 
 
 def rate_windows_and_late(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
@@ -263,11 +244,8 @@ def rate_windows_and_late(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, o
     State: per address, the times of the last window and of the delay before it. With ``idle_state_s`` it ends, and Spark drops rows
     behind the watermark; :func:`tracewarden.streaming.runtime.drain` counts those.
     """
-    timed = _with_event_time(packets, cfg) if cfg.idle_state_s is not None else packets
-    kept = [order, "ts", "src_ip"] + (["event_time"] if cfg.idle_state_s is not None else [])
-    return timed.select(*kept).groupBy("src_ip").transformWithStateInPandas(
-        _RateLimit(order, cfg), f"{_field(packets, order)}, ts double, src_ip string, in_window long, late boolean",
-        "Append", "None" if cfg.idle_state_s is None else "EventTime")
+    return _slots(packets, [order, "ts", "src_ip"], ["src_ip"], _RateLimit(order, cfg),
+                  "ts double, src_ip string, in_window long, late boolean", cfg, order)
 
 
 def stream_rate_limit(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, order: str = "packet_no") -> DataFrame:
@@ -298,7 +276,7 @@ def stream_packet_volume(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, or
     the full queue once per address and batch.
 
     The queue fills up once for all addresses. Of a partition only its first ``volume_window`` rows can meet a queue that is
-    not full, so only those go to the one group that counts; the others go by address. State: one count.
+    not full, so only those go to the one group that counts; the others go by slots of addresses. State: one count.
     """
     full, limit = cfg.volume_window, cfg.volume_limit
     places = ["ts", order]
@@ -308,24 +286,28 @@ def stream_packet_volume(packets: DataFrame, cfg: DetectionConfig = DEFAULTS, or
         for frame in frames:
             first = (frame if first is None else pd.concat([first, frame], ignore_index=True)).sort_values(places)
             later, first = first.iloc[full:].drop_duplicates("src_ip"), first.iloc[:full]
-            yield later.assign(full=True, who=later["src_ip"])
+            yield later.assign(full=True)
         if first is not None:
-            yield first.assign(full=False, who=None)
+            yield first.assign(full=False, who=-1)
 
     def volume(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if key[0]:
+            first = None
+            for run in _runs(frames, places):
+                first = (run if first is None else pd.concat([first, run], ignore_index=True).sort_values(places)).drop_duplicates("src_ip")
+            if first is not None and full >= limit:
+                yield first[["ts", "src_ip"]].assign(queue_length=full)
+            return
         count = state.get[0] if state.exists else 0
         for run in _runs(frames, places):
-            if key[0]:
-                run["queue_length"] = full
-            else:
-                run["queue_length"] = np.minimum(count + np.arange(1, len(run) + 1), full)
-                count = min(count + len(run), full)
-                state.update((count,))
+            run["queue_length"] = np.minimum(count + np.arange(1, len(run) + 1), full)
+            count = min(count + len(run), full)
+            state.update((count,))
             run = run[run["queue_length"] >= limit].drop_duplicates(["src_ip", "queue_length"])
             yield run[["ts", "src_ip", "queue_length"]]
 
-    rows = packets.select(order, "ts", "src_ip").mapInPandas(
-        split, f"{_field(packets, order)}, ts double, src_ip string, full boolean, who string")
+    rows = packets.select(order, "ts", "src_ip", slot(place("src_ip")).alias("who")).mapInPandas(
+        split, f"{_field(packets, order)}, ts double, src_ip string, full boolean, who int")
     return rows.groupBy("full", "who").applyInPandasWithState(
         volume, "ts double, src_ip string, queue_length long", "count long", "append", GroupStateTimeout.NoTimeout)
 
