@@ -17,10 +17,10 @@ from tracewarden import session
 from tracewarden.config import DEFAULTS
 from tracewarden.operators import alerts as A
 from tracewarden.operators import running_features as R
-from tracewarden.sources.packets import _csv_stream, packet_stream
+from tracewarden.sources.packets import _csv_stream, _json_stream, packet_stream
 from tracewarden.streaming import jobs as J
 from tracewarden.streaming import slots
-from tracewarden.streaming.runtime import drain, drained, gathered, reset, table_stream
+from tracewarden.streaming.runtime import _rocksdb, drain, drained, gathered, reset, table_stream
 
 SCHEMA = "packet_no long, src_ip string, dst_ip string, dst_port int, protocol string, size long, ts double"
 
@@ -348,3 +348,33 @@ def test_many_keys_are_few_calls(spark, tmp_path):
         assert "[slot#" in streamed._jdf.queryExecution().analyzed().toString()
         plain = lambda df: sorted(tuple(r) for r in df.select(*columns).collect())
         assert plain(drained(streamed, "many")) == plain(want)
+
+
+def test_a_stretch_reads_its_own_rows_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", 10)
+    monkeypatch.setattr(stream_queries, "BATCH_FILES", 3)
+    spark.range(5, 155).withColumnRenamed("id", "k").coalesce(1).write.parquet(str(tmp_path / "rows"))
+    parts, each = stream_queries._parts(spark.read.parquet(str(tmp_path / "rows")), "k")
+    plans = [p._jdf.queryExecution().executedPlan().toString() for p in parts]
+    assert (len(parts), each) == (6, 3) and all("PartitionFilters: [isnotnull(stretch_batch" in p for p in plans)
+    far, _ = stream_queries._parts(spark.createDataFrame([(-1 << 62,), (0,), (None,), ((1 << 62) - 1,)], "k long"), "k")
+    assert [[r.k for r in p.collect()] for p in far] == [[-1 << 62], [], [0], [(1 << 62) - 1]]
+
+
+def test_streamed_json_lines_are_parsed_above_the_generator(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"src_ip": "a", "size": 1}\n\n{"src_ip": "b", "size": 2}\r\n')
+    (tmp_path / "b.json").write_text(' [{"src_ip": "c", "size": 3}]')
+    files = spark.read.text(str(tmp_path), wholetext=True).withColumn("path", F.substring_index(F.input_file_name(), "/", -1))
+    rows = _json_stream(files).select("path", "pos", "packet.src_ip", "packet.size")
+    assert sorted(map(tuple, rows.collect()), key=str) == [
+        ("a.json", 0, "a", 1), ("a.json", 1, "b", 2), ("b.json", 0, "c", 3)]
+    plan = rows.filter("size > 1")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2 and "lambdafunction(from_json(" not in plan
+
+
+def test_state_is_compacted_with_each_batch(spark):
+    name = "spark.sql.streaming.stateStore.rocksdb.compactOnCommit"
+    before = spark.conf.get(name, None)
+    with _rocksdb(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
