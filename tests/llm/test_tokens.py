@@ -155,3 +155,24 @@ def test_wavelet_files(spark, rows, monkeypatch):
         at += len(ids)
     assert Counter(tuple(r) for r in got) == want
     assert wavelet.stored_tokens(frame(spark, rows).limit(0), WORD, 1).collect() == []
+
+
+def test_encoder_remembers_more_fragments_than_a_memo_by_default():
+    import public_tokenizers
+
+    from tracewarden.llm.encode import Encoder
+    from tracewarden.llm.words import MEMO_ENTRIES
+
+    encode = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    encode.memo.update((b"%d" % i, b"") for i in range(MEMO_ENTRIES))
+    first = encode(b"anew")
+    assert encode.memo[b"anew"] == first and len(encode.memo) == MEMO_ENTRIES + 1
+
+
+def test_planes_do_not_change_the_ids_given():
+    from tracewarden.llm.wavelet import WaveletMatrix
+
+    for ids in ([], [0], [0, 0], [1 << 16, 3, 0, 1 << 16], [5, 2, 7, 7, 0, 1]):
+        given = np.array(ids, dtype=np.uint32)
+        matrix = WaveletMatrix.of(given)
+        assert given.tolist() == ids == matrix.ids().tolist() == [matrix.access(i) for i in range(len(ids))]

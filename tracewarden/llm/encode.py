@@ -22,6 +22,8 @@ _BYTE_LEVEL = re.compile(rb" ?[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+(?![^\x20\x09-\x
 _LETTERS_THEN_MARKS = re.compile(rb"( ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!#$%&*,.:;?|]+)")
 #: Letters of Latin-1 with at most one leading space: one piece for the model, whatever the pattern and normaliser.
 _LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Fragments that are remembered: encoding one anew costs more than hashing a word, and a process meets more than ``MEMO_ENTRIES``.
+FRAGMENTS = 1_500_000
 
 
 def byte_letters() -> list[str]:
@@ -52,7 +54,7 @@ class Encoder:
         bare = spec | {"normalizer": None, "pre_tokenizer": None, "decoder": None, "added_tokens": [], "truncation": None, "padding": None}
         self.model = Tokenizer.from_str(json.dumps(bare))
         self.split = _BYTE_LEVEL.findall if byte_level else bytes.split
-        self.memo = Memo(self._fragment)
+        self.memo = Memo(self._fragment, FRAGMENTS)
 
     def _library(self, text: bytes) -> bytes:
         ids = array("I", self.library.encode(text.decode(), add_special_tokens=False).ids)

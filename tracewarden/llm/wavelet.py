@@ -47,12 +47,16 @@ class WaveletMatrix:
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
         bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         rest = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-        planes = []
+        dealt, planes = np.empty_like(rest), []
         for b in range(bits - 1, -1, -1):
-            ones = (rest >> b) & 1 == 1
+            ones = rest & rest.dtype.type(1 << b) != 0
             packed = np.packbits(ones)
             planes.append(np.pad(packed, (0, -len(packed) % (RANK_BITS // 8))))
-            rest = np.concatenate([rest[~ones], rest[ones]])
+            if b:
+                zeros = len(rest) - int(np.count_nonzero(ones))
+                np.compress(~ones, rest, out=dealt[:zeros])
+                np.compress(ones, rest, out=dealt[zeros:])
+                rest, dealt = dealt, rest
         return cls(len(ids), planes)
 
     def _ones_before(self, plane: int, at: int) -> int:
